@@ -36,10 +36,19 @@ def query_metrics(relevant: DataFrame, retrieved: DataFrame, k_values: list[int]
     """``query_id, k, precision, recall, ndcg`` for every query with relevant items.
 
     ``relevant`` is ``(query_id, name)``, ``retrieved`` is ``(query_id, rank, name)``.
-    A name retrieved twice counts once for precision and recall, each time for the gain.
     """
     wanted = relevant.distinct()
     hits = retrieved.join(wanted, ["query_id", "name"], "left_semi")
+    return hit_metrics(hits, wanted.groupBy("query_id").agg(F.count("*").alias("size")), k_values)
+
+
+def hit_metrics(hits: DataFrame, sizes: DataFrame, k_values: list[int]) -> DataFrame:
+    """Metrics from the retrieved rows that are relevant and the number of relevant items.
+
+    For relevance given by a rule, such as an equal label, where listing the
+    relevant items of every query would list all pairs within a label. A name
+    retrieved twice counts once for precision and recall, each time for the gain.
+    """
     per_name = hits.groupBy("query_id", "name").agg(
         F.min("rank").alias("first"),
         *[F.sum(F.when(F.col("rank") <= k, discount("rank"))).alias(f"gain_{k}") for k in k_values],
@@ -48,8 +57,7 @@ def query_metrics(relevant: DataFrame, retrieved: DataFrame, k_values: list[int]
         *[F.count_if(F.col("first") <= k).alias(f"hits_{k}") for k in k_values],
         *[F.sum(f"gain_{k}").alias(f"gain_{k}") for k in k_values],
     )
-    sizes = wanted.groupBy("query_id").agg(F.count("*").alias("size"))
-    joined = sizes.join(per_query, "query_id", "left")
+    joined = sizes.where("size > 0").join(per_query, "query_id", "left")
     rows = []
     for k in k_values:
         found = F.coalesce(f"hits_{k}", F.lit(0))
@@ -147,19 +155,17 @@ def summary_report(metrics: DataFrame, k_values: list[int]) -> DataFrame:
 
 # --- generated text ----------------------------------------------------------
 
-def _ngrams(tokens: Column, order: int) -> Column:
-    """All n-grams of 1..order as (n, gram) structs."""
-    parts = []
-    for n in range(1, order + 1):
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.greatest(F.size(tokens) - n + 1, F.lit(1))))
-        starts = F.coalesce(starts, F.array().cast("array<int>"))
-        parts.append(
-            F.transform(
-                starts,
-                lambda i, n=n: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(tokens, i, n), " ").alias("gram")),
-            )
+def _ngrams(tokens: Column, n: int, generated: int, reference: int) -> Column:
+    """The n-grams of a token list as structs that count for one of the two sides."""
+    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.greatest(F.size(tokens) - n + 1, F.lit(1))))
+
+    def gram(start: Column) -> Column:
+        return F.struct(
+            F.lit(n).alias("n"), F.array_join(F.slice(tokens, start, n), " ").alias("gram"),
+            F.lit(generated).alias("g"), F.lit(reference).alias("r"),
         )
-    return F.concat(*parts)
+
+    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), gram)
 
 
 def bleu(pairs: DataFrame, key: str = "pair_id", generated: str = "generated", reference: str = "reference",
@@ -172,14 +178,9 @@ def bleu(pairs: DataFrame, key: str = "pair_id", generated: str = "generated", r
     sized = pairs.select(
         key, tx.whitespace_tokens(generated).alias("_g"), tx.whitespace_tokens(reference).alias("_r")
     )
-    def side(tokens, mine, theirs):
-        grams = F.transform(
-            _ngrams(F.col(tokens), order),
-            lambda e: F.struct(e["n"].alias("n"), e["gram"].alias("gram"), F.lit(mine).alias("g"), F.lit(theirs).alias("r")),
-        )
-        return grams
-
-    counted = sized.select(key, F.explode(F.concat(side("_g", 1, 0), side("_r", 0, 1))).alias("e")).select(key, "e.*")
+    sides = [_ngrams(F.col("_g"), n, 1, 0) for n in range(1, order + 1)]
+    sides += [_ngrams(F.col("_r"), n, 0, 1) for n in range(1, order + 1)]
+    counted = sized.select(key, F.explode(F.concat(*sides)).alias("e")).select(key, "e.*")
     per_gram = counted.groupBy(key, "n", "gram").agg(F.sum("g").alias("g"), F.sum("r").alias("r"))
     clipped = per_gram.groupBy(key).agg(
         *[F.sum(F.when(F.col("n") == n, F.least("g", "r")).otherwise(0)).alias(f"m{n}") for n in range(1, order + 1)],

@@ -1,74 +1,98 @@
-"""TF-IDF vectors and lexical top-k.
+"""TF-IDF index and lexical top-k.
 
-A fitted vocabulary has at most ``max_features`` rows, so it can be broadcast. A
-vector is sparse, ``struct(slots array<int>, weights array<double>)``, and goes
-through the same block join as dense vectors: terms are never equi-joined, so a
-term that is in every document costs no more than any other.
+The vocabulary has at most ``max_features`` rows, so it can be broadcast. A vector
+is sparse, ``struct(slots array<int>, weights array<double>)``, and goes through
+the same block join as dense vectors: requests and items are never equi-joined by
+term, so a term that is in every document costs no more than any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from larder import fixed
 from larder.functions import text as tx
 from larder.operators.similarity import Scoring, top_k
+from larder.session import fresh_path
 
-SPARSE = "struct<slots:array<int>,weights:array<double>>"
-
-
-def terms(column) -> Column:
-    """Words and pairs of neighbouring words."""
-    words = tx.search_tokens(column)
-    pairs_from = F.greatest(F.size(words) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(words, 1, pairs_from), F.slice(words, 2, pairs_from), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.concat(words, pairs)
 
+def term_rows(docs: DataFrame, text: str, id_column: str) -> DataFrame:
+    """Words and pairs of neighbouring words, one row each; a text without any gives one null row."""
+    words = docs.select(id_column, tx.search_tokens(text).alias("_w"))
+    # Each word next to its successor; the rest of the plan is generated code.
+    following = F.slice("_w", 2, F.greatest(F.size("_w"), F.lit(1)))
+    pairs = words.select(id_column, F.inline_outer(F.arrays_zip(F.col("_w"), following.alias("_n"))).alias("a", "b"))
+    both = F.array(F.struct(F.col("a").alias("term")), F.struct(F.concat("a", F.lit(" "), "b").alias("term")))
+    return pairs.select(id_column, F.inline(both))
 
-def vocabulary(docs: DataFrame, text: str, max_features: int = fixed.TFIDF_FEATURES) -> DataFrame:
-    """The most frequent terms with slot, corpus frequency and idf.
 
-    Term and document frequency come from one aggregate: every occurrence counts
-    for the first, one per document and term for the second.
-    """
-    listed = docs.select(terms(text).alias("all"))
-    marked = listed.select(
-        F.explode(
-            F.concat(
-                F.transform("all", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-                F.transform(
-                    F.array_distinct("all"),
-                    lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-                ),
-            )
-        ).alias("t")
-    ).select("t.*")
-    counts = marked.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+def top_terms(docs: DataFrame, text: str, max_features: int = fixed.TFIDF_FEATURES, id_column: str = "item_id") -> DataFrame:
+    """The most frequent terms with a slot each: ``term, slot, tf``."""
+    rows = term_rows(docs, text, id_column).where(F.col("term").isNotNull())
+    counts = rows.groupBy("term").agg(F.count("*").alias("tf"))
     kept = counts.orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
-    docs_total = docs.agg(F.count("*")).scalar()
-    idf = F.log((1 + docs_total) / (1 + F.col("df"))) + 1
     # At most max_features rows reach this ordering.
     slot = F.row_number().over(Window.orderBy("term")) - 1
-    return kept.select("term", slot.alias("slot"), "tf", "df", idf.alias("idf"))
+    return kept.select("term", slot.alias("slot"), "tf")
+
 
+def term_counts(docs: DataFrame, text: str, terms: DataFrame, id_column: str = "item_id") -> DataFrame:
+    """``(id, slot, n)`` over known terms; unknown ones share the null slot.
 
-def vectorise(docs: DataFrame, text: str, vocab: DataFrame, id_column: str = "item_id") -> DataFrame:
+    A text lies in one task, so the map-side aggregate already sends one row per
+    posting.
+    """
+    known = F.broadcast(terms.select("term", "slot"))
+    rows = term_rows(docs, text, id_column).join(known, "term", "left")
+    return rows.groupBy(id_column, "slot").agg(F.count("*").alias("n"))
+
+
+def weighted(counts: DataFrame, vocabulary: DataFrame, id_column: str = "item_id") -> DataFrame:
     """Unit TF-IDF vectors ``(id, embedding)``; a text without known terms gets an empty one."""
-    found = docs.select(id_column, F.explode_outer(terms(text)).alias("term"))
-    known = F.broadcast(vocab.select("term", "slot", "idf"))
-    # A document lies in one task, so the map-side aggregate already sends one row per posting.
-    postings = found.join(known, "term", "left").groupBy(id_column, "slot").agg(
-        (F.count("*") * F.first("idf")).alias("weight")
-    )
-    entry = F.when(F.col("slot").isNotNull(), F.struct("slot", "weight"))
-    grouped = postings.groupBy(id_column).agg(
-        F.collect_list(entry).alias("entries"),
-        F.sqrt(F.sum(F.when(F.col("slot").isNotNull(), F.col("weight") * F.col("weight")))).alias("length"),
+    entries = counts.join(F.broadcast(vocabulary.select("slot", "idf")), "slot", "left")
+    weight = F.col("n") * F.col("idf")
+    entry = F.when(F.col("slot").isNotNull(), F.struct("slot", weight.alias("weight")))
+    grouped = entries.groupBy(id_column).agg(
+        F.collect_list(entry).alias("entries"), F.sqrt(F.sum(weight * weight)).alias("length")
     )
     weights = F.transform("entries", lambda e: e["weight"] / F.col("length"))
     return grouped.select(id_column, F.struct(F.col("entries.slot").alias("slots"), weights.alias("weights")).alias("embedding"))
 
 
+@dataclass(frozen=True)
+class TfidfIndex:
+    """A fitted index: both tables are written, so no use of it repeats the fit."""
+
+    vocabulary: DataFrame  # term, slot, tf, df, idf
+    counts: DataFrame  # item_id, slot, n
+
+    def item_vectors(self) -> DataFrame:
+        return weighted(self.counts, self.vocabulary)
+
+    def vectors(self, docs: DataFrame, text: str, id_column: str) -> DataFrame:
+        return weighted(term_counts(docs, text, self.vocabulary, id_column), self.vocabulary, id_column)
+
+
+def fit(items: DataFrame, text: str = "text_full", max_features: int = fixed.TFIDF_FEATURES) -> TfidfIndex:
+    """Choose the terms, count them per item, and weigh them by the items they occur in."""
+    spark = items.sparkSession
+
+    def stored(df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(spark, label)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    terms = stored(top_terms(items, text, max_features), "tfidf-terms")
+    counts = stored(term_counts(items, text, terms), "tfidf-counts")
+    per_slot = counts.where(F.col("slot").isNotNull()).groupBy("slot").agg(F.count("*").alias("df"))
+    total = items.agg(F.count("*")).scalar()
+    idf = F.log((1 + total) / (1 + F.col("df"))) + 1
+    vocabulary = terms.join(F.broadcast(per_slot), "slot").select("term", "slot", "tf", "df", idf.alias("idf"))
+    return TfidfIndex(stored(vocabulary, "tfidf-vocabulary"), counts)
+
+
 def postings(vectors: DataFrame, id_column: str = "item_id") -> DataFrame:
     """Sparse vectors as rows ``(id, slot, weight)``."""
     return vectors.select(id_column, F.inline(F.arrays_zip("embedding.slots", "embedding.weights"))).toDF(
@@ -76,14 +100,9 @@ def postings(vectors: DataFrame, id_column: str = "item_id") -> DataFrame:
     )
 
 
-def tfidf_top_k(
-    requests: DataFrame, items: DataFrame, k: int = fixed.TOP_K, *,
-    request_text: str = "text", item_text: str = "text_full", max_features: int = fixed.TFIDF_FEATURES, **options,
+def by_text(
+    requests: DataFrame, index: TfidfIndex, k: int = fixed.TOP_K, *, text: str = "text", attach: DataFrame | None = None, **bounds
 ) -> DataFrame:
-    """Fit on the items, then the ``k`` most similar items per request."""
-    vocab = vocabulary(items, item_text, max_features)
-    return top_k(
-        vectorise(requests, request_text, vocab, "query_id"),
-        vectorise(items, item_text, vocab, "item_id"),
-        k, Scoring(), **options,
-    )
+    """The ``k`` most similar items per request."""
+    asked = index.vectors(requests, text, "query_id")
+    return top_k(asked, index.item_vectors(), k, Scoring(), attach=attach, **bounds)

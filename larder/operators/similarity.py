@@ -295,6 +295,8 @@ def block_join(
     def every(blocks):
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
+    # Fresh names for one side, so that a table may be joined with itself.
+    requests = requests.select(*[F.col(c).alias(c) for c in requests.columns])
     left = requests.withColumn("_query_block", block_of(query_id, request_blocks)).withColumn("_item_block", every(item_blocks))
     right = items.withColumn("_item_block", block_of(item_id, item_blocks)).withColumn("_query_block", every(request_blocks))
     empty = pa.schema([(f.name, _ARROW[f.dataType.typeName()]) for f in _parse(schema)]).empty_table()

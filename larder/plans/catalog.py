@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from larder.plans import ingest, profiles, retrieval, texts  # noqa: F401
+from larder.plans import evaluating, ingest, profiles, retrieval, streams, texts  # noqa: F401
 from larder.plans.registry import QUERIES, SQL  # noqa: F401

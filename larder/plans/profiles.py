@@ -108,7 +108,7 @@ def _(t: Tables):
         SELECT "column", round(avg(x), 4) AS mean, median(x) AS median, max(x) AS max, min(x) AS min FROM d GROUP BY 1""",
 )
 def _(t: Tables):
-    lengths = t.documents.select("n_chars", tx.word_count("text").alias("words"))
+    lengths = t.spread("documents").select("n_chars", tx.word_count("text").alias("words"))
     return profile.describe(lengths, ["n_chars", "words"]).withColumn("mean", F.round("mean", 4))
 
 
@@ -139,7 +139,7 @@ def _(t: Tables):
         SELECT word, n, round(n / max(n) OVER (), 6) AS weight FROM top""",
 )
 def _(t: Tables):
-    return profile.word_frequencies(t.documents, "text", 80).withColumn("weight", F.round("weight", 6))
+    return profile.word_frequencies(t.spread("documents"), "text", 80).withColumn("weight", F.round("weight", 6))
 
 
 @query("srt01_distinct_sorted", "SELECT DISTINCT source FROM documents WHERE source IS NOT NULL ORDER BY source")

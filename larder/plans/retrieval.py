@@ -134,19 +134,6 @@ def _(t: Tables):
     return recommend.by_text(v.benchmark_requests(t), index, 200, category="es", mode="mask")
 
 
-@query(
-    "ret02_category_per_request",
-    f"""WITH {TEXT_SCORES}, wanted AS (SELECT query_id, ['en', 'fr', 'de', 'es'][query_id % 4 + 1] AS want FROM requests),
-        kept AS (SELECT s.* FROM scores s JOIN items USING (item_id) JOIN wanted USING (query_id) WHERE category = want),
-        {v.ranked('top', 'kept', 5)} SELECT query_id, item_id, score, rank FROM top""",
-)
-def _(t: Tables):
-    """Each request brings its own category."""
-    languages = F.array(*[F.lit(x) for x in ("en", "fr", "de", "es")])
-    asked = v.benchmark_requests(t).withColumn("want", languages[(F.col("query_id") % 4).cast("int")])
-    return recommend.by_text(asked, recommend.build_index(v.document_items(t)), category_column="want")
-
-
 INGREDIENT_SCORES = (
     v.ITEMS + "," + v.INGREDIENT_REQUESTS + ","
     + v.bow("asked", "SELECT query_id AS id, 'cocktail avec ' || array_to_string(available, ', ') AS text FROM requests") + ","
@@ -198,7 +185,7 @@ LEXICAL_SCORES = (
 @query("ret05_tfidf_vocabulary", f"WITH {v.tfidf('fit', 'SELECT doc_id AS id, text FROM documents')} SELECT term, slot::BIGINT AS slot, tf, df, round(idf, 6) AS idf FROM fit_vocab")
 def _(t: Tables):
     """The 5000 most frequent words and word pairs with their weights."""
-    vocab = lexical.vocabulary(v.document_items(t), "text_full")
+    vocab = lexical.fit(v.document_items(t)).vocabulary
     return vocab.select("term", F.col("slot").cast("long").alias("slot"), "tf", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -209,14 +196,13 @@ def _(t: Tables):
         SELECT id AS item_id, slot::BIGINT AS slot, round(w, 6) AS weight FROM vec""",
 )
 def _(t: Tables):
-    items = v.document_items(t)
-    vectors = lexical.vectorise(items, "text_full", lexical.vocabulary(items, "text_full"))
+    vectors = lexical.fit(v.document_items(t)).item_vectors()
     return lexical.postings(vectors).select("item_id", F.col("slot").cast("long").alias("slot"), F.round("weight", 6).alias("weight"))
 
 
 @query("ret05_tfidf_top_k", f"WITH {LEXICAL_SCORES}, {v.ranked('top', 'scores', 5)} SELECT query_id, item_id, score, rank FROM top")
 def _(t: Tables):
-    return lexical.tfidf_top_k(v.benchmark_requests(t), v.document_items(t))
+    return lexical.by_text(v.benchmark_requests(t), lexical.fit(v.document_items(t)))
 
 
 USER_SCORES = (
@@ -266,9 +252,21 @@ def detected_sql(name: str, source: str) -> str:
            QUALIFY row_number() OVER (PARTITION BY id ORDER BY hits DESC, lang) = 1)"""
 
 
+@query(
+    "ret02_category_per_request",
+    f"""WITH {profile_sql()}, {detected_sql('spoken', 'SELECT item_id AS id, text FROM benchmark')}, {TEXT_SCORES},
+        kept AS (SELECT s.* FROM scores s JOIN items USING (item_id) JOIN spoken ON spoken.id = query_id WHERE category = spoken.lang),
+        {v.ranked('top', 'kept', 5)} SELECT query_id, item_id, score, rank FROM top""",
+)
+def _(t: Tables):
+    """Each request is answered from the items of its own detected language."""
+    asked = language.detect(v.benchmark_requests(t), "text", "spoken")
+    return recommend.by_text(asked, recommend.build_index(v.document_items(t)), category_column="spoken")
+
+
 @query("ret09_detect_language", f"WITH {profile_sql()}, {detected_sql('found', 'SELECT doc_id AS id, text FROM documents')} SELECT id AS doc_id, lang AS detected FROM found")
 def _(t: Tables):
-    return language.detect(t.documents.select("doc_id", "text"), "text").select("doc_id", "detected")
+    return language.detect(t.spread("documents").select("doc_id", "text"), "text").select("doc_id", "detected")
 
 
 @query(
@@ -278,7 +276,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Detected against given language, as a confusion table."""
-    found = language.detect(t.documents.select("doc_id", "text", "lang"), "text")
+    found = language.detect(t.spread("documents").select("doc_id", "text", "lang"), "text")
     return found.groupBy("lang", "detected").agg(F.count("*").alias("n"))
 
 

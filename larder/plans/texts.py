@@ -51,7 +51,7 @@ def _(t: Tables):
     f"SELECT doc_id, unnest(list_filter({TOKENS.format('text')}, lambda x: length(x) > 2)) AS token FROM documents",
 )
 def _(t: Tables):
-    tokens = t.documents.select("doc_id", F.explode(tx.whitespace_tokens("text")).alias("token"))
+    tokens = t.spread("documents").select("doc_id", F.explode(tx.whitespace_tokens("text")).alias("token"))
     return tokens.where(F.length("token") >= fixed.MIN_TERM_CHARS)
 
 
@@ -83,12 +83,12 @@ def _(t: Tables):
     f"SELECT doc_id, regexp_replace({SQUEEZE.format('lower(text)')}, '\\s+', ' ', 'g') AS key FROM documents",
 )
 def _(t: Tables):
-    return t.documents.select("doc_id", tx.name_key("text").alias("key"))
+    return t.spread("documents").select("doc_id", tx.name_key("text").alias("key"))
 
 
 @query("str02_clean_text", f"SELECT doc_id, {CLEAN_TEXT_SQL.format('text')} AS cleaned FROM documents")
 def _(t: Tables):
-    return t.documents.select("doc_id", tx.clean_text("text").alias("cleaned"))
+    return t.spread("documents").select("doc_id", tx.clean_text("text").alias("cleaned"))
 
 
 @query("str03_clean_ingredients", f"WITH {v.RECIPES} SELECT item_id, {CLEAN_INGREDIENTS_SQL.format('ingredients')} AS cleaned FROM recipes")
@@ -124,7 +124,7 @@ def _(t: Tables):
 
 @query("str05_default_lexicon", f"SELECT doc_id, {lexicon_sql('text', fixed.FLAVOR_LEXICON)} FROM documents")
 def _(t: Tables):
-    return corpus.add_profile(t.documents.select("doc_id", "text"), text="text").drop("text")
+    return corpus.add_profile(t.spread("documents").select("doc_id", "text"), text="text").drop("text")
 
 
 @query(

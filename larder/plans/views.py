@@ -79,7 +79,7 @@ def items(t: Tables) -> DataFrame:
 
 def document_items(t: Tables) -> DataFrame:
     """Documents as items: the text is both the instructions and the search text."""
-    return t.documents.select(
+    return t.spread("documents").select(
         F.col("doc_id").alias("item_id"),
         F.concat("lang", F.lit(" "), F.col("doc_id").cast("string")).alias("name"),
         F.col("lang").alias("category"),
