@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larder import fixed
 from larder.functions import text as tx
@@ -36,6 +36,12 @@ def passes(max_similarity, threshold: float = fixed.GUARDRAIL_THRESHOLD) -> Colu
     return F.coalesce(value, F.lit(1.0)) >= threshold
 
 
+def screened(matches: DataFrame, threshold: float = fixed.GUARDRAIL_THRESHOLD) -> DataFrame:
+    """Matches of the requests that pass. The top-k is already partitioned by request: no second pass, no shuffle."""
+    best = F.max("score").over(Window.partitionBy("query_id"))
+    return matches.withColumn("_best", best).where(passes("_best", threshold)).drop("_best")
+
+
 def guardrail(
     requests: DataFrame, index: DataFrame | None, threshold: float = fixed.GUARDRAIL_THRESHOLD, **options
 ) -> DataFrame:

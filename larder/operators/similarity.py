@@ -276,6 +276,7 @@ def block_join(
     """
     max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    max_rows = min(max_rows, _rows_within(requests, max_bytes))
     head = requests.limit(max_rows + 1).toArrow()
     if head.num_rows <= max_rows and head.nbytes <= max_bytes:
         shared = requests.sparkSession.sparkContext.broadcast(head)
@@ -311,6 +312,21 @@ def block_join(
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema), False
 
 
+PROBE_ROWS = 256
+
+
+def _rows_within(df: DataFrame, max_bytes: int) -> int:
+    """How many rows of a request table fit a number of bytes, by the width of its first rows.
+
+    Dense vectors all have one width; sparse vectors and term lists do not, so
+    these are measured before more of the table is fetched.
+    """
+    if not any(f.dataType.typeName() == "struct" or "string" in f.dataType.simpleString() for f in df.schema.fields):
+        return MAX_BROADCAST_ROWS
+    probe = df.limit(PROBE_ROWS).toArrow()
+    return max_bytes * max(probe.num_rows, 1) // max(probe.nbytes, 1)
+
+
 _ARROW = {"long": pa.int64(), "double": pa.float64(), "integer": pa.int32()}
 
 

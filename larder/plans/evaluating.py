@@ -40,7 +40,7 @@ def _label_metrics(t: Tables):
     top = similarity.top_k(v.vector_requests(t), v.vector_items(t), 10, SELF, attach=labels)
     hits = top.join(asked, "query_id").where(F.col("label") == F.col("wanted")).withColumn("name", F.col("item_id").cast("string"))
     per_label = labels.groupBy(F.col("label").alias("wanted")).agg((F.count("*") - 1).alias("size"))
-    sizes = asked.join(F.broadcast(per_label), "wanted").select("query_id", "size")  # one row per label
+    sizes = asked.join(per_label, "wanted").select("query_id", "size")
     return evaluation.hit_metrics(hits, sizes, fixed.K_VALUES)
 
 
@@ -85,21 +85,24 @@ def _sampled(t: Tables):
     """Stored items, and the sampled requests with what is relevant to them."""
 
     items = save_table(v.items(t), fresh_path(t.spark, "items"))
-    drawn = corpus.seeded_sample(items, 30, "item_id", seed=0)
+    drawn = save_table(corpus.seeded_sample(items, 30, "item_id", seed=0), fresh_path(t.spark, "sample"))
 
     queries = drawn.select(F.col("item_id").alias("query_id"), tx.category_request().alias("text"))
     return items, queries, drawn.select(F.col("item_id").alias("query_id"), "name")
 
 
-def _by_vector(items, threshold: float | None = None):
-    index = recommend.build_index(items, keep=[])
+def _stored_index(t: Tables, items):
+    return save_table(recommend.build_index(items, keep=[]), fresh_path(t.spark, "index"))
+
+
+def _by_vector(items, index, threshold: float | None = None):
+    """Retrieval by vector; with a threshold, requests whose best score is below it get nothing."""
 
     def run(queries, k):
-        top = recommend.by_text(queries, index, k, attach=items.select("item_id", "name"))
-        if threshold is None:
-            return top
-        verdict = answers.guardrail(queries, index, threshold).where("passed")
-        return top.join(verdict.select("query_id"), "query_id", "left_semi")
+        top = recommend.by_text(queries, index, k)
+        if threshold is not None:
+            top = answers.screened(top, threshold)
+        return top.join(items.select("item_id", "name"), "item_id")
 
     return run
 
@@ -123,7 +126,8 @@ EVERY_QUERY = evaluation.EvalConfig(n_queries=None)
 def _(t: Tables):
     """Retrieve once at the largest k, mean of each metric per k."""
     items, queries, relevant = _sampled(t)
-    scores = evaluation.evaluate_recommender(queries, relevant, _by_vector(items), EVERY_QUERY)
+    run = _by_vector(items, _stored_index(t, items))
+    scores = evaluation.evaluate_recommender(queries, relevant, run, EVERY_QUERY)
     return _rounded(scores, ["value"])
 
 
@@ -250,10 +254,11 @@ def _ablation(t: Tables):
     """Every configuration is run; none is extrapolated from another."""
     items, queries, relevant = _sampled(t)
     config = evaluation.EvalConfig(k_values=[5], n_queries=None)
+    index = _stored_index(t, items)
     runs = {
         "tfidf": _by_terms(items),
-        "vector": _by_vector(items),
-        "vector+guardrail": _by_vector(items, fixed.GUARDRAIL_THRESHOLD),
+        "vector": _by_vector(items, index),
+        "vector+guardrail": _by_vector(items, index, fixed.GUARDRAIL_THRESHOLD),
     }
     tables = [
         evaluation.evaluate_recommender(queries, relevant, run, config).withColumn("config", F.lit(name))

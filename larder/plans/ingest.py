@@ -70,7 +70,8 @@ def _(t: Tables):
 def _(t: Tables):
     """Main, second and extra source below one folder, merged into the final corpus."""
     base = fresh_path(t.spark, "cascade")
-    ordered = v.recipes(t).orderBy("item_id").drop("item_id")
+    stored = writers.save_table(v.recipes(t), fresh_path(t.spark, "recipes"))
+    ordered = stored.orderBy("item_id").drop("item_id")
     flat = ordered.withColumn("source", F.lit("main")).where("glass = 'F'")
     flat.write.parquet(f"{base}/cocktaildb_main.parquet")
     ordered.where("glass <> 'P'").write.parquet(f"{base}/iba_cocktails.parquet")

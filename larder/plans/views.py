@@ -109,8 +109,8 @@ def user_requests(t: Tables) -> DataFrame:
 
 def turn_pairs(t: Tables) -> DataFrame:
     """Each assistant turn as generated text, the user turn before it as reference."""
-    c = t.conversations
-    asked = c.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("reference"))
+    c = t.spread("conversations")
+    asked = t.conversations.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("reference"))
     given = c.where("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("generated"))
     return given.join(asked, ["conv_id", "turn"]).select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), "generated", "reference"
