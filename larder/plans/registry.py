@@ -23,15 +23,16 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
+    def spread(self, name: str, *keys: str) -> DataFrame:
         """A table for work that costs much more than its scan.
 
         A scan with fewer splits than cores is dealt out over the cores; what that
         moves is bounded by cores x split size. A larger table is left where it lies.
+        With keys the rows are dealt out by them, which a later grouping can use.
         """
         table = getattr(self, name)
         cores = self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+        return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
 
 
 def query(name: str, sql: str | None = None):

@@ -25,7 +25,7 @@ def recipe_lines(t: Tables) -> DataFrame:
 
     One output row is one order, so its list is as long as the order itself.
     """
-    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast("long").alias("q"))
+    lines = t.spread("lineitem", "l_orderkey").select("l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast("long").alias("q"))
     named = lines.join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     line = F.struct("l_linenumber", "p_name", "q")
     return named.groupBy(F.col("l_orderkey").alias("item_id")).agg(F.array_sort(F.collect_list(line)).alias("lines"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from larder import fixed
@@ -58,7 +58,7 @@ def read_dataset(spark: SparkSession, base: str, stem: str, min_bytes: int = fix
             continue
         try:
             return read(spark, path)
-        except PySparkException as error:
+        except Exception as error:  # a broken footer surfaces as a bare Java error
             log.warning("skipped %s: %s", path, error)
     return None
 
@@ -76,7 +76,7 @@ def discover_extras(spark: SparkSession, base: str, prefix: str = fixed.EXTRA_PR
     for name in sorted(stems):
         try:
             frames.append(corpus.normalise(read_parquet(spark, f"{base}/{name}.parquet"), name, keep=["row_id"]))
-        except PySparkException as error:
+        except Exception as error:  # a broken footer surfaces as a bare Java error
             log.warning("skipped extra %s: %s", name, error)
     return frames
 
