@@ -107,15 +107,16 @@ def histogram(df: DataFrame, column: str, bins: int | list[float]) -> DataFrame:
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair, lower triangle: ``a, b, r``."""
     pairs = [(b, a) for a, b in combinations(columns, 2)]
-    # corr() raises on zero variance under ANSI; a constant column has no correlation.
     row = df.agg(*[_correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}|{b}`").alias("r")) for a, b in pairs])
     return row.select(F.inline(cells))
 
 
 def _correlation(a: str, b: str) -> Column:
-    spread = F.least(F.max(a) - F.min(a), F.max(b) - F.min(b))
-    return F.when(spread > 0, F.corr(F.col(a).cast("double"), F.col(b).cast("double")))
+    """Over the rows that have both values; null where one of them is constant, where corr() would raise."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ sys.path.insert(0, str(ROOT))
 
 from larder.session import local_session, ship_package  # noqa: E402
 
+os.environ.setdefault("LARDER_SHUFFLE_PARTITIONS", "4")
 TESTDATA = Path(os.environ.get("LARDER_TESTDATA", "/root/testdata"))
 
 
