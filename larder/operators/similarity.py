@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from larder import fixed
@@ -209,12 +210,14 @@ class Requests:
 class Best:
     """Running best ``k`` items of every request in a block."""
 
-    def __init__(self, requests: Requests, k: int):
+    def __init__(self, requests: Requests, k: int, floor: dict[int, float] | None = None):
         self.requests, self.k = requests, k
         self.row = np.zeros(0, np.int64)
         self.item = np.zeros(0, np.int64)
         self.score = np.zeros(0)
-        self.floor = np.full(len(requests.ids), -np.inf)
+        # Scores below the floor of a request cannot be among its best.
+        floor = floor or {}
+        self.floor = np.array([floor.get(i, -np.inf) for i in requests.ids.tolist()])
 
     def offer(self, items) -> None:
         for rows, ids, scores in self.requests.tiles(items):
@@ -238,7 +241,7 @@ class Best:
         place = np.arange(len(row)) - starts[row] if len(row) else np.zeros(0, np.int64)
         kept = place < self.k
         last = place == self.k - 1
-        self.floor[row[last]] = score[last]
+        self.floor[row[last]] = np.maximum(self.floor[row[last]], score[last])
         self.row, self.item, self.score = row[kept], item[kept], score[kept]
 
     def result(self) -> pa.Table:
@@ -348,12 +351,18 @@ def top_k(
     scoring: Scoring = Scoring(),
     *,
     attach: DataFrame | None = None,
+    pilot: int | None = None,
     max_rows: int | None = None,
     max_bytes: int | None = None,
 ) -> DataFrame:
     """The ``k`` best items of every request: ``query_id, item_id, score, rank``.
 
     ``attach`` adds its columns to the result by ``item_id``. Ranks start at 1.
+
+    A task sends up to ``k`` rows per request, so a stored index of very many
+    partitions makes the exchange large. ``pilot=n`` first scores every n-th
+    partition: the k-th best score found there is a lower bound of the final one,
+    and the full pass then sends only items that reach it. The result is the same.
     """
     left = _side(requests, scoring.query_side())
     right = _side(items, scoring.item_side(), scoring.item_text if (scoring.available or scoring.required) else None)
@@ -361,17 +370,27 @@ def top_k(
         left = left.withColumn(scoring.category, F.lower(scoring.category))
         right = right.withColumn(scoring.item_category, F.lower(scoring.item_category))
 
-    def kernel(block: pa.Table, batches) -> Iterator[pa.Table]:
-        best = Best(Requests(block, scoring), k)
-        for batch in batches:
-            if batch.num_rows:
-                best.offer(batch)
-        yield best.result()
-
-    partial, small = block_join(
-        left, right, kernel, MATCH_SCHEMA,
-        query_id=scoring.query_id, item_id=scoring.item_id, max_rows=max_rows, max_bytes=max_bytes,
-    )
+    def kernel(floor: dict[int, float], every: int):
+        def run(block: pa.Table, batches) -> Iterator[pa.Table]:
+            context = TaskContext.get()
+            if every > 1 and context.partitionId() % every:
+                return
+            best = Best(Requests(block, scoring), k, floor)
+            for batch in batches:
+                if batch.num_rows:
+                    best.offer(batch)
+            yield best.result()
+
+        return run
+
+    sides = dict(query_id=scoring.query_id, item_id=scoring.item_id, max_rows=max_rows, max_bytes=max_bytes)
+    floor: dict[int, float] = {}
+    if pilot:
+        found, small = block_join(left, right, kernel(floor, pilot), MATCH_SCHEMA, **sides)
+        if small:  # one number per broadcast request
+            last = rank_matches(found, k).where(F.col("rank") == k).select("query_id", "score")
+            floor = {r.query_id: r.score for r in last.collect()}
+    partial, small = block_join(left, right, kernel(floor, 1), MATCH_SCHEMA, **sides)
     ranked = rank_matches(partial, k)
     if attach is None:
         return ranked

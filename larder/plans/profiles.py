@@ -224,14 +224,13 @@ def _(t: Tables):
 
 @query(
     "agg14_relative_gain",
-    """WITH m AS (SELECT l_shipmode AS config, avg(v) AS value FROM
-                  (SELECT l_returnflag AS l_shipmode, l_extendedprice AS v FROM lineitem) GROUP BY 1),
-       b AS (SELECT value AS base FROM m WHERE config = 'A')
-       SELECT config, 'price' AS metric, 1::BIGINT AS k, round((value - base) / greatest(base, 1e-9) * 100, 4) AS gain
-       FROM m, b WHERE config <> 'A'""",
+    """WITH m AS (SELECT l_returnflag AS config, l_linestatus AS metric, CAST(l_linenumber AS BIGINT) AS k, avg(l_extendedprice) AS value
+                  FROM lineitem GROUP BY ALL)
+       SELECT a.config, a.metric, a.k, round((a.value - b.value) / greatest(b.value, 1e-9) * 100, 4) AS gain
+       FROM m a JOIN m b ON a.metric = b.metric AND a.k = b.k WHERE a.config <> 'A' AND b.config = 'A'""",
 )
 def _(t: Tables):
-    """Mean price per return flag relative to flag A, in percent."""
-    means = t.lineitem.groupBy(F.col("l_returnflag").alias("config")).agg(F.avg("l_extendedprice").alias("value"))
-    table = means.select("config", F.lit("price").alias("metric"), F.lit(1).cast("long").alias("k"), "value")
-    return evaluation.relative_gain(table, "A").select("config", "metric", "k", F.round("gain", 4).alias("gain"))
+    """Mean price per return flag relative to flag A in percent, by line status and number."""
+    keys = [F.col("l_returnflag").alias("config"), F.col("l_linestatus").alias("metric"), F.col("l_linenumber").cast("long").alias("k")]
+    means = t.lineitem.groupBy(*keys).agg(F.avg("l_extendedprice").alias("value"))
+    return evaluation.relative_gain(means, "A").select("config", "metric", "k", F.round("gain", 4).alias("gain"))

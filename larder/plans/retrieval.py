@@ -32,6 +32,12 @@ def _(t: Tables):
     return similarity.top_k(v.vector_requests(t), v.vector_items(t), 5, SELF, max_rows=0)
 
 
+@query("jon01_similarity_join_pilot", f"WITH {VECTOR_SCORES}, {v.ranked('top', 'scores', 5)} SELECT query_id, item_id, score, rank FROM top")
+def _(t: Tables):
+    """The same join with a pilot pass that bounds every request's scores first."""
+    return similarity.top_k(v.vector_requests(t), v.vector_items(t).repartition(8), 5, SELF, pilot=4)
+
+
 @query(
     "jon02_similar_pairs",
     f"WITH {VECTOR_SCORES} SELECT query_id AS id_a, item_id AS id_b, score FROM scores WHERE query_id < item_id AND score >= 0.4",

@@ -42,6 +42,20 @@ def test_top_k_equals_brute_force(spark, form):
     assert rows_of(got) == brute(q, x, 4)
 
 
+@pytest.mark.parametrize("form", FORMS)
+def test_pilot_pass_changes_nothing_but_the_rows_sent(spark, form):
+    q, x = unit(9, 8, 21), unit(400, 8, 22)
+    x[::3] = x[0]
+    items = vectors(spark, x, "item_id").repartition(16)
+    got = similarity.top_k(vectors(spark, q, "query_id"), items, 5, pilot=4, **form)
+    assert rows_of(got) == brute(q, x, 5)
+    masked = Scoring(category="want", mask=True)
+    asked = vectors(spark, q, "query_id").withColumn("want", F.lit("rare"))
+    rare = items.withColumn("category", F.when(F.col("item_id") < 3, "rare").otherwise("common"))
+    both = [rows_of(similarity.top_k(asked, rare, 5, masked, pilot=n, **form)) for n in (None, 4)]
+    assert both[0] == both[1]
+
+
 @pytest.mark.parametrize("form", FORMS)
 def test_blocks_of_bounded_size(spark, form, monkeypatch):
     monkeypatch.setattr(similarity, "BLOCK_REQUESTS", 5)
