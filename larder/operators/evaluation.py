@@ -99,6 +99,25 @@ def evaluate_recommender(queries: DataFrame, relevant: DataFrame, recommend, con
     return long_metrics(macro_mean(query_metrics(judged, retrieved, config.k_values)))
 
 
+def query_counts(queries: DataFrame, relevant: DataFrame, n: int | None = None) -> DataFrame:
+    """How many queries were asked for, and how many of them could be judged."""
+    used = queries if n is None else queries.orderBy("query_id").limit(n)
+    known = relevant.select("query_id", F.lit(1).alias("_judged")).distinct()
+    return used.join(known, "query_id", "left").agg(F.count("*").alias("n_queries"), F.count("_judged").alias("n_evaluated"))
+
+
+def labelled_requests(spark, config: EvalConfig = EvalConfig(), in_domain: list[str] = fixed.IN_DOMAIN_REQUESTS) -> DataFrame:
+    """The fixed screening requests with their label."""
+    rows = [(text, False) for text in config.out_of_domain_queries] + [(text, True) for text in in_domain]
+    return spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "query_id long, text string, in_domain boolean")
+
+
+def evaluate_guardrail(labelled: DataFrame, screen) -> DataFrame:
+    """Screening report; ``screen(requests)`` gives ``query_id, passed``."""
+    verdict = screen(labelled.select("query_id", "text")).select("query_id", "passed")
+    return screening_report(confusion(labelled.join(verdict, "query_id")))
+
+
 def confusion(labelled: DataFrame, expected: str = "in_domain", passed: str = "passed", by: list[str] | None = None) -> DataFrame:
     """tp, fp, tn, fn of a screening; positive means an in-domain request was accepted."""
     e, p = F.col(expected), F.col(passed)

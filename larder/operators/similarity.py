@@ -33,6 +33,7 @@ from larder import fixed
 SCORE_DIGITS = 8
 MAX_BROADCAST_ROWS = 20_000
 MAX_BROADCAST_BYTES = 64 << 20
+MAX_BROADCAST_MATCHES = 1_000_000
 BLOCK_REQUESTS = 8_192
 BLOCK_ITEMS = 65_536
 # Entries of one score or matrix tile: 4M doubles, 32 MB.
@@ -271,11 +272,11 @@ def block_join(
     item_id: str,
     max_rows: int | None = None,
     max_bytes: int | None = None,
-) -> tuple[DataFrame, bool]:
+) -> tuple[DataFrame, int | None]:
     """Run ``kernel(request block, item batches)`` over every pair of blocks.
 
-    Returns the partial results and whether the request side was small enough to
-    broadcast.
+    Returns the partial results and the number of requests that were broadcast,
+    or None where they were too many.
     """
     max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
@@ -288,7 +289,7 @@ def block_join(
             for table in kernel(shared.value, batches):
                 yield from table.to_batches()
 
-        return items.mapInArrow(scan, schema), True
+        return items.mapInArrow(scan, schema), head.num_rows
 
     request_blocks = max(1, -(-requests.count() // BLOCK_REQUESTS))
     item_blocks = max(1, -(-items.count() // BLOCK_ITEMS))
@@ -312,7 +313,7 @@ def block_join(
         return pa.concat_tables(tables) if tables else empty
 
     keys = ["_query_block", "_item_block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema), False
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema), None
 
 
 PROBE_ROWS = 256
@@ -386,15 +387,16 @@ def top_k(
     sides = dict(query_id=scoring.query_id, item_id=scoring.item_id, max_rows=max_rows, max_bytes=max_bytes)
     floor: dict[int, float] = {}
     if pilot:
-        found, small = block_join(left, right, kernel(floor, pilot), MATCH_SCHEMA, **sides)
-        if small:  # one number per broadcast request
+        found, asked = block_join(left, right, kernel(floor, pilot), MATCH_SCHEMA, **sides)
+        if asked is not None:  # one number per broadcast request
             last = rank_matches(found, k).where(F.col("rank") == k).select("query_id", "score")
             floor = {r.query_id: r.score for r in last.collect()}
-    partial, small = block_join(left, right, kernel(floor, 1), MATCH_SCHEMA, **sides)
+    partial, asked = block_join(left, right, kernel(floor, 1), MATCH_SCHEMA, **sides)
     ranked = rank_matches(partial, k)
     if attach is None:
         return ranked
-    # The matches are at most k rows per broadcast request; beyond that bound the planner decides.
+    # At most k rows per counted request; beyond the bound the planner decides.
+    small = asked is not None and asked * k <= MAX_BROADCAST_MATCHES
     return (F.broadcast(ranked) if small else ranked).join(attach, "item_id")
 
 

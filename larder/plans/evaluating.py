@@ -158,7 +158,10 @@ def _screened(t: Tables):
         SELECT tp, fp, tn, fn, {REPORT.format(3)} FROM c""",
 )
 def _(t: Tables):
-    return evaluation.screening_report(evaluation.confusion(_screened(t)))
+    asked = language.detect(v.benchmark_requests(t), "text", "spoken")
+    labelled = asked.select("query_id", "text", (F.col("spoken") == "en").alias("in_domain"))
+    index = recommend.build_index(v.document_items(t).where("category = 'en'"), keep=[])
+    return evaluation.evaluate_guardrail(labelled, lambda requests: answers.guardrail(requests, index))
 
 
 THRESHOLDS = [0.20, 0.25, 0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60]
@@ -299,7 +302,7 @@ def _(t: Tables):
 @query("ml01_kmeans")
 def _(t: Tables):
     """Eight clusters, best of ten starts: assignment of every vector."""
-    features = clusters.as_features(v.vector_items(t)).persist()
+    features = clusters.as_features(v.vector_items(t))
     model = clusters.fit_kmeans(features, 8)
     return clusters.assign(features, model).select("item_id", F.col("cluster").cast("long").alias("cluster"))
 

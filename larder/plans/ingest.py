@@ -304,21 +304,6 @@ def _(t: Tables):
     return corpus.dedup_by_id(t.lineitem.select(*columns), "l_orderkey", columns[1:])
 
 
-@query(
-    "set03_common_elements",
-    """WITH names AS (SELECT p_brand, list(DISTINCT p_name) FILTER (p_size <= 25) AS a, list(DISTINCT p_name) FILTER (p_size > 25) AS b
-                      FROM part GROUP BY p_brand)
-       SELECT p_brand, CAST(len(list_intersect(a, b)) AS BIGINT) AS common FROM names""",
-)
-def _(t: Tables):
-    """Names a brand offers in both halves of the size range, duplicates collapsed."""
-    small = F.col("p_size") <= 25
-    sides = t.part.groupBy("p_brand").agg(
-        F.collect_set(F.when(small, F.col("p_name"))).alias("a"), F.collect_set(F.when(~small, F.col("p_name"))).alias("b")
-    )
-    return sides.select("p_brand", F.size(F.array_intersect("a", "b")).cast("long").alias("common"))
-
-
 @query(
     "win02_dedup_by_name",
     f"""WITH {v.RECIPES} SELECT item_id, name FROM recipes

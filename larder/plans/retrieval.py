@@ -6,11 +6,11 @@ from pyspark.sql import Window, functions as F
 
 from larder import fixed
 from larder.functions import text as tx
-from larder.operators import answers, approximate, language, lexical, recommend, similarity
+from larder.operators import answers, approximate, corpus, language, lexical, recommend, similarity
 from larder.operators.similarity import Scoring
 from larder.plans import views as v
 from larder.plans.registry import Tables, query
-from larder.plans.texts import TEMPLATE_SQL
+from larder.plans.texts import TEMPLATE_SQL, lexicon_sql
 
 SELF = Scoring(exclude_self=True)
 
@@ -54,8 +54,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Top-k joined back to its item columns by key."""
-    corpus = v.vector_items(t).select("item_id", "label")
-    return similarity.top_k(v.vector_requests(t), v.vector_items(t), 3, SELF, attach=corpus)
+    labels = v.vector_items(t).select("item_id", "label")
+    return similarity.top_k(v.vector_requests(t), v.vector_items(t), 3, SELF, attach=labels)
 
 
 @query(
@@ -98,8 +98,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Flagship: nearest items of every request with the screening verdict, from one pass."""
-    corpus = v.vector_items(t).select("item_id", "label")
-    top = similarity.top_k(v.vector_requests(t), v.vector_items(t), 5, SELF, attach=corpus)
+    labels = v.vector_items(t).select("item_id", "label")
+    top = similarity.top_k(v.vector_requests(t), v.vector_items(t), 5, SELF, attach=labels)
     best = F.max("score").over(Window.partitionBy("query_id"))
     return top.withColumn("passed", answers.passes(best)).select("query_id", "item_id", "score", "rank", "label", "passed")
 
@@ -119,6 +119,25 @@ def _(t: Tables):
     return recommend.by_text(v.benchmark_requests(t), recommend.build_index(items), attach=items.select("item_id", "category"))
 
 
+@query(
+    "ret02_recommendations",
+    f"""WITH {TEXT_SCORES}, {v.ranked('top', 'scores', 5)},
+        p AS (SELECT item_id, {lexicon_sql('ingredients || instructions', fixed.FLAVOR_LEXICON)} FROM items),
+        long AS (SELECT item_id, k AS key, value FROM (UNPIVOT p ON {", ".join(fixed.FLAVOR_LEXICON)} INTO NAME k VALUE value))
+        SELECT query_id, rank, item_id, name, category, score AS similarity_score, key, value
+        FROM top JOIN items USING (item_id) JOIN long USING (item_id)""",
+)
+def _(t: Tables):
+    """Published recommendations: item columns, score, and the profile as a map, shown entry by entry."""
+    items = v.document_items(t)
+    profiled = corpus.add_profile(items.withColumn("_all", F.concat("ingredients", "instructions")), text="_all")
+    top = recommend.by_text(v.benchmark_requests(t), recommend.build_index(items), attach=profiled)
+    published = top.select(*recommend.recommendation())
+    return published.select(
+        "query_id", "rank", "item_id", "name", "category", "similarity_score", F.explode("flavor_profile")
+    )
+
+
 @query(
     "ret02_category_strict",
     f"""WITH {TEXT_SCORES}, kept AS (SELECT s.* FROM scores s JOIN items USING (item_id) WHERE lower(category) = 'fr'),

@@ -152,6 +152,17 @@ def _(t: Tables):
     return v.recipes(t).select("item_id", F.explode(tx.split_list("ingredients")).alias("part"))
 
 
+@query(
+    "set03_common_elements",
+    f"""WITH {v.TURN_PAIRS} SELECT pair_id, CAST(len(list_intersect(list_distinct({TOKENS.format('generated')}),
+        list_distinct({TOKENS.format('reference')}))) AS BIGINT) AS common FROM pairs""",
+)
+def _(t: Tables):
+    """Words that an assistant turn shares with the user turn before it, duplicates collapsed."""
+    common = F.array_intersect(tx.whitespace_tokens("generated"), tx.whitespace_tokens("reference"))
+    return v.turn_pairs(t).select("pair_id", F.size(common).cast("long").alias("common"))
+
+
 @query("str09_word_count", f"SELECT doc_id, CAST(len({TOKENS.format('text')}) AS BIGINT) AS words FROM documents")
 def _(t: Tables):
     return t.documents.select("doc_id", tx.word_count("text").alias("words"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from larder.operators.answers import AnswerSettings, answer
 
@@ -43,8 +44,13 @@ def answer_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        answered = answer(batch.select("query_id", "text"), index, corpus, settings, **plugins)
-        answered.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        # Answering reads the batch more than once; the stateful source must run once per batch.
+        requests_now = batch.select("query_id", "text").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            answered = answer(requests_now, index, corpus, settings, **plugins)
+            answered.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        finally:
+            requests_now.unpersist()
 
     writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -71,6 +71,23 @@ def test_screening_report_and_sweep(spark):
     assert (report.precision, report.recall, report.f1, report.rejection_rate_ood) == (0.667, 0.667, 0.667, 0.667)
 
 
+def test_fixed_requests_through_a_screen(spark):
+    labelled = ev.labelled_requests(spark)
+    assert labelled.count() == 10 and labelled.where("in_domain").count() == 5
+    from pyspark.sql import functions as F
+
+    report = ev.evaluate_guardrail(labelled, lambda r: r.withColumn("passed", F.col("text").rlike("avec|film"))).first()
+    assert (report.tp, report.fp, report.tn, report.fn) == (2, 1, 4, 3)
+    assert (report.precision, report.recall, report.f1, report.rejection_rate_ood) == (0.667, 0.4, 0.5, 0.8)
+
+
+def test_both_query_counts_are_reported(spark):
+    queries = spark.createDataFrame([(i,) for i in range(6)], "query_id long")
+    relevant = spark.createDataFrame([(0, "a"), (0, "b"), (3, "a"), (5, "a")], "query_id long, name string")
+    row = ev.query_counts(queries, relevant, 5).first()
+    assert (row.n_queries, row.n_evaluated) == (5, 2)
+
+
 def test_relative_gain_is_guarded(spark):
     rows = [("base", "p", 1, 0.0), ("new", "p", 1, 0.5), ("base", "r", 1, 0.4), ("new", "r", 1, 0.5)]
     gains = ev.relative_gain(spark.createDataFrame(rows, "config string, metric string, k long, value double"), "base")

@@ -126,6 +126,27 @@ def test_pairs_equal_brute_force(spark, form, monkeypatch):
     assert len(got) == len({(r.id_a, r.id_b) for r in got})
 
 
+@pytest.mark.parametrize("form", FORMS)
+def test_pairs_of_two_sets(spark, form):
+    a, b = unit(10, 4, 31), unit(15, 4, 32)
+    got = similarity.similar_pairs(vectors(spark, a, "item_id"), vectors(spark, b, "item_id"), -1.0, **form)
+    assert got.count() == 150  # a threshold at the lower end gives the whole matrix
+    scores = a.astype(np.float64) @ b.astype(np.float64).T
+    assert all(r.score == pytest.approx(scores[r.id_a, r.id_b], abs=1e-7) for r in got.collect())
+
+
+def test_wide_matches_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "MAX_BROADCAST_MATCHES", 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = vectors(spark, unit(9, 4, 33), "item_id")
+        asked = vectors(spark, unit(2, 4, 34), "query_id")
+        assert "BroadcastHashJoin" in plan_of(similarity.top_k(asked, items, 1, attach=items.select("item_id")))
+        assert "BroadcastHashJoin" not in plan_of(similarity.top_k(asked, items, 2, attach=items.select("item_id")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_expression_and_block_scores_agree(spark):
     x = unit(40, 16, 11)
     df = vectors(spark, x, "item_id")
