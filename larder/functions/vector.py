@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
 
 from larder import fixed
 
@@ -34,6 +35,27 @@ def normalised(v) -> Column:
     return F.transform(_col(v), lambda x: x.cast("double") / F.coalesce(length, F.lit(1.0)))
 
 
+class _Slots(dict):
+    """Slot per word, computed at first sight; emptied when the vocabulary seen grows too large."""
+
+    LIMIT = 1 << 18
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        slot = self[word] = int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16) % self.dim
+        return slot
+
+
+@lru_cache(maxsize=None)
+def _slots(dim: int) -> _Slots:
+    return _Slots(dim)
+
+
 def hashed_embedder(dim: int = fixed.EMBEDDING_DIM):
     """Default embedder: text column -> unit vector of hashed word counts.
 
@@ -43,24 +65,15 @@ def hashed_embedder(dim: int = fixed.EMBEDDING_DIM):
     """
     word = re.compile(r"\w\w+")
 
-    @F.pandas_udf("array<float>")
-    def embed(texts: pd.Series) -> pd.Series:
-        slot = _slot_of(dim)
-        rows = []
-        for text in texts:
-            slots = [slot(w) for w in word.findall((text or "").lower())]
-            counts = np.bincount(slots, minlength=dim) if slots else np.zeros(dim, dtype=np.int64)
-            length = np.sqrt(float(np.dot(counts, counts)))
-            rows.append((counts / length if length else counts).astype(np.float32))
-        return pd.Series(rows)
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def embed(texts: pa.Array) -> pa.Array:
+        slots = _slots(dim)
+        found = [[slots[w] for w in word.findall((text or "").lower())] for text in texts.to_pylist()]
+        row = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        flat = np.fromiter(chain.from_iterable(found), np.int64, len(row))
+        counts = np.bincount(row * dim + flat, minlength=len(found) * dim).reshape(len(found), dim).astype(np.float64)
+        length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        unit = np.divide(counts, length, out=counts, where=length > 0).astype(np.float32)
+        return pa.ListArray.from_arrays(np.arange(0, unit.size + 1, dim, dtype=np.int32), unit.ravel())
 
     return embed
-
-
-@lru_cache(maxsize=None)
-def _slot_of(dim: int):
-    @lru_cache(maxsize=1 << 18)
-    def slot(word: str) -> int:
-        return int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16) % dim
-
-    return slot

@@ -282,6 +282,8 @@ def block_join(
     max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     max_rows = min(max_rows, _rows_within(requests, max_bytes))
     head = requests.limit(max_rows + 1).toArrow()
+    if not head.num_rows:  # nothing asked: the items need not be read
+        return requests.sparkSession.createDataFrame([], schema), 0
     if head.num_rows <= max_rows and head.nbytes <= max_bytes:
         shared = requests.sparkSession.sparkContext.broadcast(head)
 

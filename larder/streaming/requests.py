@@ -47,6 +47,8 @@ def answer_stream(
         # Answering reads the batch more than once; the stateful source must run once per batch.
         requests_now = batch.select("query_id", "text").persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if batch_id and requests_now.isEmpty():  # the watermark moved on without new requests
+                return
             answered = answer(requests_now, index, corpus, settings, **plugins)
             answered.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         finally:
