@@ -199,7 +199,8 @@ def bleu(pairs: DataFrame, key: str = "pair_id", generated: str = "generated", r
     )
     sides = [_ngrams(F.col("_g"), n, 1, 0) for n in range(1, order + 1)]
     sides += [_ngrams(F.col("_r"), n, 0, 1) for n in range(1, order + 1)]
-    counted = sized.select(key, F.explode(F.concat(*sides)).alias("e")).select(key, "e.*")
+    # A pair without a single word keeps one null row, and so its score of 0.
+    counted = sized.select(key, F.explode_outer(F.concat(*sides)).alias("e")).select(key, "e.*")
     per_gram = counted.groupBy(key, "n", "gram").agg(F.sum("g").alias("g"), F.sum("r").alias("r"))
     clipped = per_gram.groupBy(key).agg(
         *[F.sum(F.when(F.col("n") == n, F.least("g", "r")).otherwise(0)).alias(f"m{n}") for n in range(1, order + 1)],
@@ -214,9 +215,7 @@ def bleu(pairs: DataFrame, key: str = "pair_id", generated: str = "generated", r
     length, ref = F.col("t1"), F.col("ref_words")
     penalty = F.when(length > ref, F.lit(1.0)).otherwise(F.exp(1 - ref / F.greatest(length, F.lit(1))))
     score = F.when((F.col("m1") > 0) & (length > 0), penalty * F.exp(logs)).otherwise(F.lit(0.0))
-    scored = clipped.select(key, score.alias("bleu4"))
-    # Pairs in which neither side has a word produce no n-gram.
-    return pairs.select(key).join(scored, key, "left").withColumn("bleu4", F.coalesce("bleu4", F.lit(0.0)))
+    return clipped.select(key, score.alias("bleu4"))
 
 
 def _common_subsequence(a: list[str], b: list[str]) -> int:

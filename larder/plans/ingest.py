@@ -321,5 +321,6 @@ def _(t: Tables):
 def _(t: Tables):
     """Hashed word-count vectors of all documents, non-zero entries as rows."""
     vectors = recommend.embed(t.spread("documents").select(F.col("doc_id").alias("item_id"), "text"), "text")
-    entries = vectors.select("item_id", F.posexplode("embedding").alias("slot", "w")).where("w <> 0")
+    # The outer form: a plain explode of a column adds a filter on its size, which would embed every text twice.
+    entries = vectors.select("item_id", F.posexplode_outer("embedding").alias("slot", "w")).where("w <> 0")
     return entries.select("item_id", F.col("slot").cast("long").alias("slot"), F.round(F.col("w").cast("double"), 6).alias("weight"))
