@@ -57,7 +57,7 @@ def apportioned(parts: DataFrame, group: list[str], weight: str, seats: str, tie
     ranked for the seats that are left. Ties go by ``tie``. Parts of no weight get none.
     """
     by = Window.partitionBy(*(group or [F.lit(0)]))  # without a group: one row per source, as many as weights were stated
-    share = F.col(weight).cast("double") / F.sum(F.col(weight).cast("double")).over(by)
+    share = F.try_divide(F.col(weight).cast("double"), F.sum(F.col(weight).cast("double")).over(by))
     slack = F.count(F.lit(1)).over(by) / 2
     bounded = (
         parts.withColumn("_low", F.greatest(F.floor(F.coalesce(share, F.lit(0.0)) * (F.col(seats) - slack) - 0.5), F.lit(0)))

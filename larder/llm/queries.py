@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontamination, language_id, mixing, token_files
+from larder.llm import decontamination, language_id, licenses, mixing, near_duplicates, outliers, token_files, url_filter
 from larder.llm.common import id_bucket, stored, words
 from larder.session import ship_package
 
@@ -43,6 +43,13 @@ def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(stored(docs, "mix-documents"), (5.0, 2.0, 1.0)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Text statistics, the two base rules, and outliers of each language and source."""
+    judged = outliers.judge(table(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
 @query("op4_token_files")
 def write_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as token files, and what is read back from them."""
@@ -60,6 +67,33 @@ def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op7_near_duplicates")
+def link_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are similar by 0.85 or more."""
+    return near_duplicates.link(table(spark, folder, "documents"), 3, 85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+# The rules of the query contract.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query("op8_url_filter")
+def filter_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's url judged by the rules, else by trees learned from the urls that the rules decide."""
+    return url_filter.filter_urls(table(spark, folder, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op9_licenses")
+def scan_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and signature labels of every document."""
+    found = licenses.detect(table(spark, folder, "documents"))
+    labels = F.array_join(F.array_sort(F.array_union("base_labels", "method_labels")), ",")
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), labels.alias("labels"),
+        licenses.score().alias("score"), "n_detections",
+    )
+
+
 @query("op10_language")
 def language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document; three quarters of the ids may teach."""
