@@ -56,7 +56,7 @@ COMMONS_VERSIONS = ["", "1 0", "2 0", "2 5", "3 0", "4 0"]
 # Single statements: label, keyword, priority, pattern.
 STATEMENTS = [
     ("mit", "granted", 1, "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("isc", "granted", 1, "permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", "permission", 1, "permission to use copy modify and or distribute this software for any purpose"),
     ("bsd", "redistribution", 1, "redistribution and use in source and binary forms with or without modification are permitted"),
     ("zlib", "implied", 1, "this software is provided as is without any express or implied warranty"),
     ("unlicense", "unencumbered", 1, "this is free and unencumbered software released into the public domain"),
