@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontamination, language_id, licenses, mixing, near_duplicates, outliers, token_files, url_filter
+from larder.llm import decontamination, extraction, language_id, licenses, mixing, near_duplicates, outliers, token_files, url_filter
 from larder.llm.common import id_bucket, stored, words
 from larder.session import ship_package
 
@@ -43,6 +43,12 @@ def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(stored(docs, "mix-documents"), (5.0, 2.0, 1.0)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_main_text")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return extraction.extract(table(spark, folder, "pages"))
+
+
 @query("op3_quality_rules")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Text statistics, the two base rules, and outliers of each language and source."""
