@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontamination, extraction, language_id, licenses, mixing, near_duplicates, outliers, token_files, url_filter
+from larder.llm import decontamination, extraction, interpolation, language_id, licenses, mixing, near_duplicates, outliers, token_files, url_filter
 from larder.llm.common import id_bucket, stored, words
 from larder.session import ship_package
 
@@ -73,6 +73,13 @@ def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_language_model")
+def language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document under a model learned from four fifths of the ids."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", (id_bucket("doc_id", 5) == 1).alias("held"))
+    return interpolation.score(docs)
+
+
 @query("op7_near_duplicates")
 def link_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are similar by 0.85 or more."""
