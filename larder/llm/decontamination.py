@@ -12,7 +12,6 @@ blocks, each scanned over the documents, and their hits are united by document.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -48,7 +47,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes:
     patterns = stored(windows(benchmark, size), "benchmark-windows")
     n_bytes = patterns.agg(F.sum(F.octet_length("pattern") + 2)).first()[0] or 0
     n_blocks = 1 + n_bytes // block_bytes
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     found = []
     for block in range(n_blocks):
         mine = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(n_blocks)) == block)
@@ -65,6 +64,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes:
     return united.select("doc_id", "text_hash", "n_words", merged.alias("spans"), F.array_sort("items").alias("items"), once.alias("_copy")).drop("_copy")
 
 
+def without_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no window of the benchmark."""
+    hit = scan(docs, benchmark).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+
+
 def _joined(done, span):
     last = F.element_at(done, -1)
     apart = (F.size(done) == 0) | (F.try_element_at(done, F.lit(-1))["last"] < span["first"])
@@ -101,12 +106,12 @@ def _scanner(listed, size: int, every_row: bool):
         machine = _automaton(key, listed)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                raw = (text or "").encode("utf-8")
-                n, spans, items = _hits(machine, raw)
-                if every_row or spans:
-                    mark = int.from_bytes(hashlib.blake2b(raw + (b"" if text is not None else b"\0null"), digest_size=8).digest(), "little", signed=True)
-                    out.append({"doc_id": doc_id, "text_hash": mark, "copies": int(every_row), "n_words": n, "spans": spans, "items": items})
+            for i in range(0, batch.num_rows, 256):
+                some = batch.slice(i, 256)
+                for doc_id, mark, text in zip(*(some.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))):
+                    n, spans, items = _hits(machine, (text or "").encode("utf-8"))
+                    if every_row or spans:
+                        out.append({"doc_id": doc_id, "text_hash": mark, "copies": int(every_row), "n_words": n, "spans": spans, "items": items})
             yield pa.RecordBatch.from_pylist(out, schema=_SCHEMA)
 
     return scan_batches

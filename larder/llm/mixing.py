@@ -21,6 +21,7 @@ BLOCK = 16  # words; a source misses its target by about half a block for each o
 SHARD_WORDS = 1_000_000
 MOST_SHARDS = 100_000  # of all sources; beyond it shards get larger, so that quotas stay a small table
 ADDED = ["source_size", "target", "taken", "passes", "picked"]
+SIZE = "_mix_size"  # a name for the words of a row where the table may have a column ``size``
 PRIME = 1_000_000_007  # larger than the blocks of a shard, so k -> k * PRIME + c is a permutation of them
 
 
@@ -74,8 +75,8 @@ def apportioned(parts: DataFrame, group: list[str], weight: str, seats: str, tie
     return bounded.join(won, on, "left").select(*parts.columns, (F.col("_low") + F.coalesce("_won", F.lit(0))).alias(name))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] | DataFrame, ratio: float = 1.5, max_repeat: int = 2, block: int = BLOCK, seed: int = 1) -> DataFrame:
-    """The rows (columns ``doc_id``, ``source``, ``size`` and any others, kept) with their place in the mix.
+def mix(docs: DataFrame, weights: tuple[float, ...] | DataFrame, ratio: float = 1.5, max_repeat: int = 2, block: int = BLOCK, seed: int = 1, size: str = "size") -> DataFrame:
+    """The rows (columns ``doc_id``, ``source``, the words in ``size`` and any others, kept) with their place in the mix.
 
     Adds source_size, target (of the source), taken (words of the row in the mix, repeats
     counted), ``passes`` (times the whole row is in) and ``picked`` (word ranges [from, to) that
@@ -84,7 +85,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] | DataFrame, ratio: float =
     Null source: a source of its own. Null or zero size: taken 0. Repeated rows: each is taken by
     itself. Empty table: no rows. The same rows and seed give the same mix however they are partitioned.
     """
-    rows = docs.drop(*ADDED).select(F.struct("*").alias("_row"), "doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"))
+    rows = docs.drop(*ADDED).select(F.struct("*").alias("_row"), "doc_id", "source", F.coalesce(F.col(size), F.lit(0)).cast("long").alias("size"))
     sources = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sizes")
     weighted = cycled_weights(sources, weights) if isinstance(weights, tuple) else sources.join(weights.select(F.col("source").alias("_s"), "weight"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     sources = stored(with_targets(stored(weighted, "mix-weights"), ratio, max_repeat), "mix-targets")
@@ -139,13 +140,13 @@ def _picked(seed: int) -> Column:
     return F.when((size > 0) & (F.col("n") % blocks > 0), ranges).otherwise(F.array().cast("array<struct<from:bigint,to:bigint>>"))
 
 
-def mixed_texts(mixed: DataFrame) -> DataFrame:
+def mixed_texts(mixed: DataFrame, size: str = "size") -> DataFrame:
     """One row for each pass that a row of ``mix`` takes part in, ``text`` cut to the picked blocks.
 
     A row taken whole twice is two rows; a row not taken is none. Other columns are kept.
     """
     pieces = F.regexp_extract_all(filled("text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     cut = F.array_join(F.flatten(F.transform("picked", lambda r: F.slice(F.col("_pieces"), (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), "")
-    whole = mixed.where(F.col("passes") > 0).withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes")))).drop("_pass").where(F.col("size") > 0)
+    whole = mixed.where(F.col("passes") > 0).withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes")))).drop("_pass").where(F.col(size) > 0)
     part = mixed.where(F.size("picked") > 0).withColumn("_pieces", pieces).withColumn("text", cut).drop("_pieces")
     return whole.unionByName(part)

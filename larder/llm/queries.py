@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from larder.llm import decontamination, extraction, interpolation, language_id, licenses, mixing, near_duplicates, outliers, token_files, url_filter
 from larder.llm.common import id_bucket, stored, words
 from larder.session import ship_package
@@ -113,3 +114,9 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = language_id.fit(docs.where(id_bucket("doc_id", 4) != 2))
     return language_id.predict(docs, model).select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, folder)
