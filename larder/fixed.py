@@ -49,7 +49,6 @@ MERGED_STEM, MERGED_TAG = "cocktails_merged", "cocktaildb_merged"
 MAIN_STEMS = ["cocktaildb_main", "cocktails"]
 SECOND_STEMS = {"iba_cocktails": "iba", "cocktaildb_nonalcoholic": "nonalcoholic"}
 EXTRA_PREFIX = "kaggle_"
-MIN_FILE_BYTES = 100
 
 # --- fixed values: keyword lexicon (matched as substrings) ------------------
 FLAVOR_LEXICON = {
@@ -87,8 +86,6 @@ ANSWER_TEMPERATURE = 0.7
 
 # --- fixed values: evaluation -----------------------------------------------
 K_VALUES = [1, 3, 5, 10]
-N_QUERIES = 50
-GUARDRAIL_TEST_SIZE = 30
 OUT_OF_DOMAIN_REQUESTS = [
     "repare mon velo",
     "quelle est la capitale de la France",

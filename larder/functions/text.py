@@ -11,6 +11,8 @@ from pyspark.sql import Column, functions as F
 from larder import fixed
 
 _SPACE = r"[\s\x1c-\x1f]"
+# The characters of that class one by one.
+_SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _col(c: Column | str) -> Column:
@@ -23,8 +25,8 @@ def text_or_blank(c) -> Column:
 
 
 def trim_ws(c) -> Column:
-    """Strip every kind of whitespace, not only blanks."""
-    return F.regexp_replace(_col(c), rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    """Strip every kind of whitespace, not only blanks. Only the ends are read, so long inner runs cost nothing."""
+    return F.btrim(_col(c), F.lit(_SPACES))
 
 
 def collapse_ws(c) -> Column:
@@ -157,8 +159,8 @@ def matches_search(term: str, columns: list[str], regex: bool = False) -> Column
     """Does the term occur in any of the columns, ignoring case? Null never matches."""
     found = F.lit(False)
     for name in columns:
-        text = F.lower(_col(name))
-        hit = text.rlike(term.lower()) if regex else F.contains(text, F.lit(term.lower()))
+        # A pattern is matched without regard to case; lower-casing it would turn \\D into \\d.
+        hit = _col(name).rlike(f"(?iu){term}") if regex else F.contains(F.lower(_col(name)), F.lit(term.lower()))
         found = found | F.coalesce(hit, F.lit(False))
     return found
 

@@ -15,8 +15,7 @@ from larder.functions.stem import stem_words
 @dataclass(frozen=True)
 class EvalConfig:
     k_values: list[int] = field(default_factory=lambda: list(fixed.K_VALUES))
-    n_queries: int | None = fixed.N_QUERIES
-    guardrail_test_size: int = fixed.GUARDRAIL_TEST_SIZE
+    n_queries: int | None = None  # all
     out_of_domain_queries: list[str] = field(default_factory=lambda: list(fixed.OUT_OF_DOMAIN_REQUESTS))
 
 

@@ -95,6 +95,11 @@ def _flat(column):
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+def with_vector(rows, column: str):
+    """The rows whose vector is not null: a missing vector matches nothing."""
+    return rows.filter(pc.is_valid(rows.column(column))) if rows.column(column).null_count else rows
+
+
 class Vectors:
     """Matrix view of a vector column; sparse vectors are cut to the slots in use."""
 
@@ -223,6 +228,7 @@ class Best:
     def offer(self, items) -> None:
         for rows, ids, scores in self.requests.tiles(items):
             floor = self.floor[rows]
+            scores = np.where(np.isfinite(scores), scores, -np.inf)  # a score that is no number is no match, and sets no floor
             if scores.shape[1] > self.k:
                 floor = np.maximum(floor, np.partition(scores, -self.k, axis=1)[:, -self.k])
             floor = floor[:, None]
@@ -360,7 +366,8 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` best items of every request: ``query_id, item_id, score, rank``.
 
-    ``attach`` adds its columns to the result by ``item_id``. Ranks start at 1.
+    ``attach`` adds its columns to the result by ``item_id``. Ranks start at 1. A null vector, or one whose
+    scores are not finite, matches nothing on either side.
 
     A task sends up to ``k`` rows per request, so a stored index of very many
     partitions makes the exchange large. ``pilot=n`` first scores every n-th
@@ -378,8 +385,12 @@ def top_k(
             context = TaskContext.get()
             if every > 1 and context.partitionId() % every:
                 return
+            block = with_vector(block, scoring.query_vector)
+            if not block.num_rows:
+                return
             best = Best(Requests(block, scoring), k, floor)
             for batch in batches:
+                batch = with_vector(batch, scoring.item_vector)
                 if batch.num_rows:
                     best.offer(batch)
             yield best.result()

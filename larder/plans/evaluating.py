@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder import fixed
-from larder.functions import text as tx
-from larder.operators import answers, clusters, corpus, evaluation, language, lexical, recommend, similarity
+from larder.operators import answers, clusters, evaluation, language, lexical, recommend, similarity
 from larder.plans import views as v
 from larder.plans.registry import Tables, query
 from larder.plans.retrieval import SELF, VECTOR_SCORES, detected_sql, profile_sql
@@ -63,13 +62,12 @@ def _(t: Tables):
     return _rounded(_label_metrics(t)).select("query_id", "k", "ndcg")
 
 
-# Thirty requests made from sampled items; relevant is the item itself.
-SAMPLED = v.ITEMS + """,
-requests AS (SELECT item_id AS query_id, category || ' with ' || string_split(ingredients, ',')[1] AS text, name AS wanted
-             FROM items ORDER BY md5('0:' || item_id), item_id LIMIT 30),
+# Every document is a request made of its text; relevant is the document itself, by name.
+REQUESTS = v.DOCUMENT_ITEMS + """,
+requests AS (SELECT item_id AS query_id, text_full AS text, name AS wanted FROM items),
 sizes AS (SELECT query_id, 1 AS size FROM requests)"""
 
-SAMPLED_VECTORS = (
+REQUEST_VECTORS = (
     v.bow("asked", "SELECT query_id AS id, text FROM requests") + ","
     + v.bow("indexed", "SELECT item_id AS id, text_full AS text FROM items") + ","
     + v.scored("scores", "asked", "indexed", "SELECT query_id AS id FROM requests", "SELECT item_id AS id FROM items") + ","
@@ -81,14 +79,10 @@ LONG = """long AS (SELECT 'precision' AS metric, k, avg(precision) AS value FROM
        UNION ALL SELECT 'recall', k, avg(recall) FROM {0} GROUP BY k UNION ALL SELECT 'ndcg', k, avg(ndcg) FROM {0} GROUP BY k)"""
 
 
-def _sampled(t: Tables):
-    """Stored items, and the sampled requests with what is relevant to them."""
-
-    items = save_table(v.items(t), fresh_path(t.spark, "items"))
-    drawn = save_table(corpus.seeded_sample(items, 30, "item_id", seed=0), fresh_path(t.spark, "sample"))
-
-    queries = drawn.select(F.col("item_id").alias("query_id"), tx.category_request().alias("text"))
-    return items, queries, drawn.select(F.col("item_id").alias("query_id"), "name")
+def _judged(t: Tables):
+    """Items, a request from each of them, and what is relevant to it."""
+    items = v.document_items(t)
+    return items, items.select(F.col("item_id").alias("query_id"), F.col("text_full").alias("text")), items.select(F.col("item_id").alias("query_id"), "name")
 
 
 def _stored_index(t: Tables, items):
@@ -116,16 +110,16 @@ def _by_terms(items):
     return run
 
 
-EVERY_QUERY = evaluation.EvalConfig(n_queries=None)
+EVERY_QUERY = evaluation.EvalConfig()
 
 
 @query(
     "evl04_evaluate_recommender",
-    f"WITH {SAMPLED}, {SAMPLED_VECTORS}, {metrics_sql('hits', 'sizes')}, {LONG.format('metrics')} SELECT metric, k, round(value, 6) AS value FROM long",
+    f"WITH {REQUESTS}, {REQUEST_VECTORS}, {metrics_sql('hits', 'sizes')}, {LONG.format('metrics')} SELECT metric, k, round(value, 6) AS value FROM long",
 )
 def _(t: Tables):
     """Retrieve once at the largest k, mean of each metric per k."""
-    items, queries, relevant = _sampled(t)
+    items, queries, relevant = _judged(t)
     run = _by_vector(items, _stored_index(t, items))
     scores = evaluation.evaluate_recommender(queries, relevant, run, EVERY_QUERY)
     return _rounded(scores, ["value"])
@@ -234,7 +228,7 @@ def _(t: Tables):
 
 
 ABLATION = (
-    f"WITH {SAMPLED}, {SAMPLED_VECTORS}, {metrics_sql('hits', 'sizes', 'vector_metrics', '[5]')},"
+    f"WITH {REQUESTS}, {REQUEST_VECTORS}, {metrics_sql('hits', 'sizes', 'vector_metrics', '[5]')},"
     + "strong AS (SELECT query_id FROM top GROUP BY query_id HAVING max(score) >= 0.4),"
     + "screened_hits AS (SELECT hits.* FROM hits SEMI JOIN strong USING (query_id)),"
     + metrics_sql("screened_hits", "sizes", "screened_metrics", "[5]") + ","
@@ -255,7 +249,7 @@ ABLATION = (
 
 def _ablation(t: Tables):
     """Every configuration is run; none is extrapolated from another."""
-    items, queries, relevant = _sampled(t)
+    items, queries, relevant = _judged(t)
     config = evaluation.EvalConfig(k_values=[5], n_queries=None)
     index = _stored_index(t, items)
     runs = {
@@ -309,8 +303,8 @@ def _(t: Tables):
 
 @query("ml02_sweep")
 def _(t: Tables):
-    """Inertia and sampled silhouette for 3 to 15 clusters, ten starts each."""
-    return clusters.sweep(v.vector_items(t))
+    """Inertia and silhouette over all vectors for 3 to 15 clusters; two starts each, 26 fits."""
+    return clusters.sweep(v.vector_items(t), starts=2)
 
 
 SILHOUETTE = """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e, label FROM embeddings),

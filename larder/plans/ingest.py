@@ -33,7 +33,7 @@ def _(t: Tables):
 
 WIDE_SQL = v.RECIPES + """,
 numbered AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY l, p, q) AS slot FROM lines),
-wide AS (SELECT item_id, string_agg(q || 'ml ' || p, ', ' ORDER BY slot) AS ingredients FROM numbered WHERE slot <= 15 GROUP BY item_id)"""
+wide AS (SELECT item_id, string_agg(q || 'ml ' || p, ', ' ORDER BY slot) AS ingredients FROM numbered GROUP BY item_id)"""
 
 
 @query(
@@ -71,7 +71,7 @@ def _(t: Tables):
     """Main, second and extra source below one folder, merged into the final corpus."""
     base = fresh_path(t.spark, "cascade")
     stored = writers.save_table(v.recipes(t), fresh_path(t.spark, "recipes"))
-    ordered = stored.orderBy("item_id").drop("item_id")
+    ordered = writers.save_table(stored.orderBy("item_id"), fresh_path(t.spark, "recipes-ordered")).drop("item_id")  # sorted once for three drops
     flat = ordered.withColumn("source", F.lit("main")).where("glass = 'F'")
     flat.write.parquet(f"{base}/cocktaildb_main.parquet")
     ordered.where("glass <> 'P'").write.parquet(f"{base}/iba_cocktails.parquet")
@@ -88,9 +88,10 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Payload texts made from the wide layout, one record each, parsed back to flat rows."""
-    fields = [F.col("item_id").cast("string").alias("idDrink"), *[c for c in v.wide_recipes(t).columns if c != "item_id"]]
+    wide = v.wide_recipes(t)
+    fields = [F.col("item_id").cast("string").alias("idDrink"), *[c for c in wide.columns if c != "item_id"]]
     record = F.to_json(F.struct(F.array(F.struct(*fields)).alias(fixed.PAYLOAD_ARRAY)))
-    return readers.parse_payload(v.wide_recipes(t).select(record.alias("body")), "body")
+    return readers.parse_payload(wide.select(record.alias("body")), "body")
 
 
 @query("src04_parse_properties", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -112,12 +113,16 @@ def _(t: Tables):
     return parquet.union(readers.read_csv(t.spark, paths["csv"]).select(F.lit("csv"), *columns))
 
 
-@query("src06_convert_drops", "SELECT p_name, p_brand, p_type FROM part")
+@query(
+    "src06_convert_drops",
+    """SELECT p_name, p_brand, CASE WHEN p_partkey % 3 < 2 THEN p_type END AS p_type, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS VARCHAR) END AS p_size FROM part""",
+)
 def _(t: Tables):
-    """Several CSV drops of one dataset become one Parquet dataset."""
+    """CSV drops of one dataset that differ in the order and number of their columns become one Parquet dataset."""
     base = fresh_path(t.spark, "csv-drops")
-    drops = t.part.select("p_name", "p_brand", "p_type").repartition(4, "p_type")
-    drops.write.option("header", True).csv(f"{base}/in")
+    third = F.col("p_partkey") % 3
+    for n, columns in enumerate((["p_name", "p_brand", "p_type", "p_size"], ["p_type", "p_name", "p_brand"], ["p_brand", "p_name"])):
+        t.part.where(third == n).select(*columns).write.mode("append").option("header", True).csv(f"{base}/in")
     return writers.convert_drops(t.spark, f"{base}/in", f"{base}/out")
 
 

@@ -80,13 +80,13 @@ def _(t: Tables):
 @query(
     "win03_position_discount",
     """SELECT user_id, event_id, round(1 / log2(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) + 1), 6) AS gain
-       FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) <= 10""",
+       FROM events""",
 )
 def _(t: Tables):
     from larder.operators.evaluation import discount
 
     order = Window.partitionBy("user_id").orderBy(F.desc("value"), "event_id")
-    ranked = t.events.select("user_id", "event_id", F.row_number().over(order).alias("rank")).where("rank <= 10")
+    ranked = t.events.select("user_id", "event_id", F.row_number().over(order).alias("rank"))
     return ranked.select("user_id", "event_id", F.round(discount("rank"), 6).alias("gain"))
 
 

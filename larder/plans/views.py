@@ -53,14 +53,16 @@ def _orders(t: Tables) -> DataFrame:
 
 
 def wide_recipes(t: Tables) -> DataFrame:
-    """The raw wide layout: 15 ingredient and measure slots, unused ones null."""
-    joined = _orders(t).join(recipe_lines(t), "item_id")
+    """The raw wide layout: as many ingredient and measure slots as the longest order has lines, unused ones null."""
+    lines = recipe_lines(t)
+    longest = t.lineitem.groupBy("l_orderkey").count().agg(F.max("count")).first()[0] or 0
+    joined = _orders(t).join(lines, "item_id")
     names = F.transform("lines", lambda x: x["p_name"])
 
     def slot(n: int) -> Column:
         return F.get("lines", F.lit(n - 1))
 
-    slots = range(1, fixed.WIDE_SLOTS + 1)
+    slots = range(1, max(longest, fixed.WIDE_SLOTS) + 1)
     return joined.select(
         "item_id",
         F.concat(names[0], F.lit(" "), F.col("customer").cast("string")).alias("strDrink"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -29,19 +30,38 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return row.n or 0
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """All-string CSV with a header, and ``row_id``. Lines with too many fields are dropped, short ones padded.
+def csv_layouts(spark: SparkSession, path: str) -> list[tuple[bool, list[str]]]:
+    """The files below a path in groups of one header line and of whether a quoted value goes over several lines.
 
-    ``multiline`` allows line breaks inside quotes; a file is then read by one task,
-    so large drops should be many files or have it switched off.
+    One pass over the lines with a partial aggregate: one row per file is left, and one per layout comes to the driver.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline)
-    names = reader.csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_overflow"]])
-    rows = reader.schema(schema).option("mode", "PERMISSIVE").option("enforceSchema", True).csv(path)
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumn("row_id", place).where(F.col("_overflow").isNull())
-    return rows.select(*[F.when(~F.col(c).isin(NA_TEXTS), F.col(c)).alias(c) for c in names], "row_id")
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"), odd.alias("odd"))
+    files = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"), F.max("odd").alias("broken"))
+    groups = files.groupBy("header", "broken").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
+    return sorted(((r["broken"], r["files"]) for r in groups), key=lambda g: g[1][0])
+
+
+def read_csv(spark: SparkSession, path: str, malformed: bool = False) -> DataFrame:
+    """All-string CSV with headers, and ``row_id``. Every file is read by its own header; columns a file lacks are null.
+
+    Short lines are padded, lines with more fields than their header dropped; ``malformed`` gives only those, to be counted.
+    Files are split among tasks, except those with line breaks inside quotes: such a file is read by one task.
+    """
+    tables = []
+    for broken, files in csv_layouts(spark, path):
+        reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", broken)
+        names = reader.csv(files).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_overflow"]])
+        rows = reader.schema(schema).option("mode", "PERMISSIVE").option("enforceSchema", True).csv(files)
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+        wanted = F.col("_overflow").isNotNull() if malformed else F.col("_overflow").isNull()
+        placed = rows.withColumn("row_id", place).where(wanted)
+        tables.append(placed.select(*[F.when(~F.col(c).isin(NA_TEXTS), F.col(c)).alias(c) for c in names], "row_id"))
+    if not tables:
+        raise ValueError(f"no CSV file with a header below {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -50,11 +70,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("row_id", place)
 
 
-def read_dataset(spark: SparkSession, base: str, stem: str, min_bytes: int = fixed.MIN_FILE_BYTES) -> DataFrame | None:
-    """``<stem>.parquet``, else ``<stem>.csv``, with ``row_id``; tiny or unreadable files count as absent."""
+def read_dataset(spark: SparkSession, base: str, stem: str) -> DataFrame | None:
+    """``<stem>.parquet``, else ``<stem>.csv``, with ``row_id``; empty or unreadable files count as absent, small ones are data."""
     for extension, read in (("parquet", read_parquet), ("csv", read_csv)):
         path = f"{base}/{stem}.{extension}"
-        if stored_bytes(spark, path) <= min_bytes:
+        if not stored_bytes(spark, path):
             continue
         try:
             return read(spark, path)
@@ -106,29 +126,34 @@ def load_corpus(spark: SparkSession, base: str, lexicon: dict[str, list[str]] =
 
 
 def payload_schema() -> T.StructType:
-    fields = [*fixed.PAYLOAD_FIELDS.values()]
-    fields += [f"{p}{n}" for n in range(1, fixed.WIDE_SLOTS + 1) for p in (fixed.WIDE_INGREDIENT, fixed.WIDE_MEASURE)]
-    record = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    return T.StructType([T.StructField(fixed.PAYLOAD_ARRAY, T.ArrayType(record))])
+    """Records as maps, so that a record may have any number of slots."""
+    return T.StructType([T.StructField(fixed.PAYLOAD_ARRAY, T.ArrayType(T.MapType(T.StringType(), T.StringType())))])
 
 
 def payload_columns(record: str) -> list[Column]:
     """Flat columns of one payload record; texts are trimmed, null becomes blank."""
     columns = []
     for name, key in fixed.PAYLOAD_FIELDS.items():
-        value = tx.text_or_blank(f"{record}.{key}")
+        value = tx.text_or_blank(F.try_element_at(record, F.lit(key)))
         columns.append((value if name == "id" else tx.trim_ws(value)).alias(name))
         if name == "glass":
-            slots = range(1, fixed.WIDE_SLOTS + 1)
-            columns.append(
-                corpus.joined_slots(
-                    {n: F.col(f"{record}.{fixed.WIDE_INGREDIENT}{n}") for n in slots},
-                    {n: F.col(f"{record}.{fixed.WIDE_MEASURE}{n}") for n in slots},
-                ).alias("ingredients")
-            )
+            columns.append(payload_slots(F.col(record)).alias("ingredients"))
     return [*columns, F.lit(fixed.PAYLOAD_SOURCE).alias("source")]
 
 
+def payload_slots(record: Column) -> Column:
+    """"measure name, measure name" from the numbered slots of a record, paired and ordered by number."""
+    number = rf"^{fixed.WIDE_INGREDIENT}([0-9]+)$"
+    named = F.filter(F.map_entries(record), lambda e: e["key"].rlike(number))
+    slots = F.array_sort(F.transform(named, lambda e: F.struct(F.regexp_extract(e["key"], number, 1).cast("int").alias("n"), tx.trim_ws(tx.text_or_blank(e["value"])).alias("name"))))
+
+    def line(slot: Column) -> Column:
+        measure = tx.trim_ws(tx.text_or_blank(F.try_element_at(record, F.concat(F.lit(fixed.WIDE_MEASURE), slot["n"].cast("string")))))
+        return F.when(measure != "", F.concat(measure, F.lit(" "), slot["name"])).otherwise(slot["name"])
+
+    return F.array_join(F.transform(F.filter(slots, lambda s: s["name"] != ""), line), ", ")
+
+
 def parse_payload(df: DataFrame, json_column: str, keep: list[str] | None = None) -> DataFrame:
     """Payload texts ``{"drinks": [...] | null}`` to one flat row per record."""
     parsed = df.select(*(keep or []), F.from_json(json_column, payload_schema()).alias("_payload"))
@@ -137,5 +162,5 @@ def parse_payload(df: DataFrame, json_column: str, keep: list[str] | None = None
 
 
 def read_payload(spark: SparkSession, path: str) -> DataFrame:
-    """Payload dumps: one JSON document per line or per file."""
+    """Payload dumps: one JSON document per file; a folder of files is as many tasks."""
     return parse_payload(spark.read.text(path, wholetext=True), "value")

@@ -20,6 +20,24 @@ def test_csv_drops_long_lines_pads_short_ones(spark, folder):
     assert got == [("1", "2", "3"), ("4", "5", None), ('q "w",\nz', None, None)]
 
 
+def test_csv_files_are_read_by_their_own_headers(spark, folder):
+    base = Path(folder, "drops")
+    base.mkdir()
+    (base / "a.csv").write_text("name,category\nKamikaze,Shot\nMojito,Long\n")
+    (base / "b.csv").write_text("category,name\nShot,Tequila\n")
+    (base / "c.csv").write_text('name,category,glass\n"Two\nlines",Beer,Mug\nx,y,z,too many\n')
+    rows = {(r.name, r.category, r.glass) for r in readers.read_csv(spark, str(base)).collect()}
+    assert rows == {("Kamikaze", "Shot", None), ("Mojito", "Long", None), ("Tequila", "Shot", None), ("Two\nlines", "Beer", "Mug")}
+    assert readers.read_csv(spark, str(base), malformed=True).count() == 1
+    assert sorted(broken for broken, _ in readers.csv_layouts(spark, str(base))) == [False, False, True]
+
+
+def test_payload_keeps_any_number_of_slots(spark):
+    record = {"idDrink": 7, "strDrink": " A ", "strIngredient10": "ten", "strMeasure10": " 1 cl ", "strIngredient2": "two", "strMeasure2": None, "strIngredient20": "twenty", "strIngredient3": " "}
+    got = readers.parse_payload(spark.createDataFrame([(json.dumps({"drinks": [record]}),), ('{"drinks": null}',)], "body string"), "body").collect()
+    assert [(r.id, r.name, r.ingredients) for r in got] == [("7", "A", "two, 1 cl ten, twenty")]
+
+
 def test_parquet_first_then_csv_then_nothing(spark, folder):
     Path(folder, "x.csv").write_text("a\n" + "1\n" * 100)
     assert readers.read_dataset(spark, folder, "x").count() == 100
@@ -28,7 +46,9 @@ def test_parquet_first_then_csv_then_nothing(spark, folder):
     spark.range(7).write.parquet(f"{folder}/y.parquet")
     assert readers.read_dataset(spark, folder, "y").count() == 7
     Path(folder, "tiny.csv").write_text("a\n1\n")
-    assert readers.read_dataset(spark, folder, "tiny") is None
+    assert [r.a for r in readers.read_dataset(spark, folder, "tiny").collect()] == ["1"]
+    Path(folder, "empty.csv").write_text("")
+    assert readers.read_dataset(spark, folder, "empty") is None
     assert readers.read_dataset(spark, folder, "absent") is None
 
 

@@ -55,7 +55,7 @@ def test_evaluate_skips_queries_without_relevant_items(spark):
 
 def test_defaults():
     config = ev.EvalConfig()
-    assert (config.k_values, config.n_queries, config.guardrail_test_size, len(config.out_of_domain_queries)) == ([1, 3, 5, 10], 50, 30, 5)
+    assert (config.k_values, config.n_queries, len(config.out_of_domain_queries)) == ([1, 3, 5, 10], None, 5)
 
 
 def test_screening_report_and_sweep(spark):

@@ -230,3 +230,15 @@ def test_probing_some_cells_has_bounded_recall(spark):
     found = approximate.probe_top_k(asked, approximate.build_cell_index(items, centres), centres, 5, probes=4)
     recall = approximate.recall_against(similarity.top_k(asked, items, 5), found).first().recall
     assert 0.7 < recall <= 1.0
+
+
+@pytest.mark.parametrize("form", [{}, {"max_rows": 0}])
+@pytest.mark.parametrize("bad", [1, 2, 5])
+def test_nan_and_null_vectors_lose_no_match(spark, form, bad):
+    good = [(i, [1.0, i / 10.0]) for i in range(8)]
+    broken = [(100 + i, [float("nan"), 1.0]) for i in range(bad)] + [(200 + i, None) for i in range(bad)]
+    schema = "item_id long, embedding array<float>"
+    asked = spark.createDataFrame([(0, [0.0, 1.0]), (1, None), (2, [float("nan"), 0.0])], "query_id long, embedding array<float>")
+    want = similarity.top_k(asked.where("query_id = 0"), spark.createDataFrame(good, schema), 2, **form).collect()
+    got = similarity.top_k(asked, spark.createDataFrame(good + broken, schema).repartition(1), 2, **form).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) == 2
