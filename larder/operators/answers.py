@@ -27,7 +27,8 @@ class AnswerSettings:
     generate: bool = True
     translate: bool = True
     model: str = "template"
-    corpus_version: str = ""
+    corpus_version: str = ""  # stated where a cache is given: answers do not outlive their corpus
+    language: str | None = None  # generated (not template) answers are translated into it
 
 
 def passes(max_similarity, threshold: float = fixed.GUARDRAIL_THRESHOLD) -> Column:
@@ -73,7 +74,7 @@ def contexts(matches: DataFrame, columns: dict[str, str] = fixed.CONTEXT_LABELS)
 def answer_key(text, settings: AnswerSettings) -> Column:
     """Every setting that changes the answer is part of the key."""
     return tx.content_key(
-        text, F.lit(settings.k), F.lit(settings.temperature), F.lit(settings.model), F.lit(settings.corpus_version)
+        text, F.lit(settings.k), F.lit(settings.temperature), F.lit(settings.model), F.lit(settings.corpus_version), F.lit(settings.language or "")
     )
 
 
@@ -100,6 +101,8 @@ def answer(
         asked = language.to_english(requests, "query_id", "text", translator=translator)
     else:
         asked = requests.select("query_id", "text", F.col("text").alias("english"), F.lit(False).alias("was_translated"))
+    if cache is not None and not settings.corpus_version:
+        raise ValueError("a cache needs settings.corpus_version")
     asked = asked.withColumn("key", answer_key("text", settings))
     live = asked.where(~tx.is_blank("text"))
 
@@ -125,6 +128,9 @@ def answer(
         fresh = template
     else:
         joined = _generated(joined, generator)
+        if settings.language and translator is not None:
+            joined = language.to_language(joined, "_generated", settings.language, translator)
+            joined = joined.drop("_generated").withColumnRenamed(f"_generated_{settings.language}", "_generated")
         fresh = F.coalesce(F.col("_generated"), template)
     return joined.select(
         "query_id",
@@ -169,7 +175,8 @@ def new_cache_rows(answers: DataFrame) -> DataFrame:
 def answer_through_cache(requests, index, corpus, cache_path: str, settings=AnswerSettings(), **plugins) -> DataFrame:
     """Answer, append new answers to the cache table, and return the answers from a written table."""
     spark = requests.sparkSession
-    cache = ch.stored(spark, cache_path, "string")
+    wanted = requests.select(answer_key("text", settings).alias("key")).distinct()
+    cache = ch.stored(spark, cache_path, "string", wanted)
     written = fresh_path(spark, "answers")
     answer(requests, index, corpus, settings, cache=cache, **plugins).write.parquet(written)
     answers = spark.read.parquet(written)

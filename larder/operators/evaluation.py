@@ -84,6 +84,14 @@ def long_metrics(means: DataFrame) -> DataFrame:
     return means.unpivot(["k"], ["precision", "recall", "ndcg"], "metric", "value").select("metric", "k", "value")
 
 
+def full_report(means: DataFrame, generation: DataFrame, counts: DataFrame) -> DataFrame:
+    """``metric, k, value`` of retrieval means per k, mean text scores and counts; k is null where it has no meaning."""
+    text = generation.select(F.col("mean_bleu4").alias("bleu4"), F.col("mean_rouge_l").alias("rouge_l"), F.col("pairs").cast("double").alias("n_pairs"))
+    sizes = counts.select(*[F.col(c).cast("double").alias(c) for c in ("n_queries", "n_evaluated")])
+    rows = [F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.lit(None).cast("long").alias("k"), F.col(c).alias("value")) for c in part.columns])).alias("r") for part in (text, sizes)]
+    return long_metrics(means).unionByName(text.select(rows[0]).select("r.*")).unionByName(sizes.select(rows[1]).select("r.*"))
+
+
 def first_queries(queries: DataFrame, relevant: DataFrame, n: int | None) -> DataFrame:
     """The first ``n`` queries by id that have relevant items."""
     usable = (queries if n is None else queries.orderBy("query_id").limit(n))

@@ -291,6 +291,25 @@ def _(t: Tables):
     return _rounded(evaluation.summary_report(long, fixed.K_VALUES), ["at_1", "at_3", "at_5", "at_10"])
 
 
+@query(
+    "evl11_report",
+    JUDGED + f""", {BLEU}, {ROUGE}, means AS (SELECT k, avg(precision) AS precision, avg(recall) AS recall, avg(ndcg) AS ndcg FROM metrics GROUP BY k),
+        l AS (SELECT k, 'precision' AS metric, precision AS x FROM means UNION ALL SELECT k, 'recall', recall FROM means UNION ALL SELECT k, 'ndcg', ndcg FROM means)
+        SELECT metric, k, round(x, 6) AS value FROM l
+        UNION ALL SELECT 'bleu4', NULL, round(avg(bleu4), 6) FROM bleu UNION ALL SELECT 'rouge_l', NULL, round(avg(rouge_l), 6) FROM rouge
+        UNION ALL SELECT 'n_pairs', NULL, count(*) FROM pairs
+        UNION ALL SELECT 'n_queries', NULL, count(*) FROM embeddings UNION ALL SELECT 'n_evaluated', NULL, count(*) FROM sizes""",
+)
+def _(t: Tables):
+    """The whole evaluation as one table: retrieval per k, generated text, and how many requests and pairs were judged."""
+    means = evaluation.macro_mean(_label_metrics(t))
+    asked = v.vector_items(t).select(F.col("item_id").alias("query_id"), "label")
+    judged = asked.join(asked.groupBy("label").count().where("count > 1"), "label", "left_semi").select("query_id")
+    scores = evaluation.evaluate_generation(v.turn_pairs(t), stem=False, digits=12)
+    report = evaluation.full_report(means, evaluation.mean_generation(scores), evaluation.query_counts(asked, judged))
+    return _rounded(report, ["value"])
+
+
 # --- clustering ---------------------------------------------------------------
 
 @query("ml01_kmeans")

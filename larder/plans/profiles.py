@@ -49,6 +49,16 @@ def _(t: Tables):
     return profile.summary(v.recipes(t), ["category", "glass"], ["name", "ingredients", "instructions"])
 
 
+@query(
+    "agg03_sources",
+    """SELECT count(*) AS rows, count(DISTINCT source) AS distinct_source, count(DISTINCT lang) AS distinct_lang,
+              count(*) FILTER (text IS NULL) AS nulls_text FROM documents""",
+)
+def _(t: Tables):
+    """Size of a corpus, its distinct sources and languages, and missing texts."""
+    return profile.summary(t.documents, ["source", "lang"], ["text"])
+
+
 @query("agg04_mean_profile", f"WITH {PROFILE_SQL} SELECT {', '.join(f'round(avg({c}), 6) AS {c}' for c in v.LEXICON)} FROM p")
 def _(t: Tables):
     means = profile.means(_profiles(t), list(v.LEXICON))

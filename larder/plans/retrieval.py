@@ -10,6 +10,8 @@ from larder.operators import answers, approximate, corpus, language, lexical, re
 from larder.operators.similarity import Scoring
 from larder.plans import views as v
 from larder.plans.registry import Tables, query
+from larder.session import fresh_path
+from larder.sources.writers import save_table
 from larder.plans.texts import TEMPLATE_SQL, lexicon_sql
 
 SELF = Scoring(exclude_self=True)
@@ -364,7 +366,7 @@ def _flat(answered):
 @query("ret07_batch_answers", ANSWER_SQL.replace("{threshold}", "0.4"))
 def _(t: Tables):
     """Translate, screen, look up, retrieve, assemble and answer every user turn in one plan."""
-    settings = answers.AnswerSettings()
+    settings = answers.AnswerSettings(corpus_version="documents")
     items = v.document_items(t)
     asked = v.user_requests(t).select("query_id", "text")
     return _flat(answers.answer(asked, recommend.build_index(items), items, settings, cache=_stored_answers(t, settings)))
@@ -373,12 +375,59 @@ def _(t: Tables):
 @query("ret07_batch_answers_strict", ANSWER_SQL.replace("{threshold}", "0.7"))
 def _(t: Tables):
     """The same with a higher threshold, so that requests are rejected."""
-    settings = answers.AnswerSettings(threshold=0.7)
+    settings = answers.AnswerSettings(threshold=0.7, corpus_version="documents")
     items = v.document_items(t)
     asked = v.user_requests(t).select("query_id", "text")
     return _flat(answers.answer(asked, recommend.build_index(items), items, settings, cache=_stored_answers(t, settings)))
 
 
+THROUGH_SQL = f"""WITH {translated_sql("SELECT conv_id * 1000 + turn AS id, CASE WHEN conv_id % 10 = 3 THEN ' ' ELSE text END AS text FROM conversations WHERE role = 'user'")},
+    {v.DOCUMENT_ITEMS}, {v.bow('asked', 'SELECT id, english AS text FROM english')},
+    {v.bow('indexed', 'SELECT item_id AS id, text_full AS text FROM items')},
+    {v.scored('scores', 'asked', 'indexed', 'SELECT id FROM english', 'SELECT item_id AS id FROM items')},
+    {v.ranked('top', 'scores', 3)},
+    contexts AS (SELECT query_id, {CONTEXT_SQL} AS context, max(score) AS best FROM top JOIN items USING (item_id) GROUP BY query_id)
+    SELECT run, query_id, CASE WHEN trim(text) = '' THEN 'empty' WHEN best >= 0.4 THEN 'success' ELSE 'rejected' END AS status,
+           run = 'warm' AND trim(text) <> '' AND best >= 0.4 AS cached,
+           CASE WHEN trim(text) <> '' AND best >= 0.4 THEN {TEMPLATE_SQL.format('english', 'context')} END AS generated_recipe
+    FROM english e JOIN contexts c ON c.query_id = e.id CROSS JOIN (VALUES ('cold'), ('warm')) r(run)"""
+
+
+@query("ret07_through_cache", THROUGH_SQL)
+def _(t: Tables):
+    """Every user turn twice through one cache: the first run fills it, the second is served from it; blank turns are ``empty``."""
+    settings = answers.AnswerSettings(corpus_version="documents")
+    items = v.document_items(t)
+    index = save_table(recommend.build_index(items, keep=[]), fresh_path(t.spark, "index"))
+    blank = F.when(F.floor(F.col("query_id") / 1000) % 10 == 3, " ").otherwise(F.col("text"))
+    asked = v.user_requests(t).select("query_id", blank.alias("text"))
+    path = fresh_path(t.spark, "answer-cache")
+    runs = [answers.answer_through_cache(asked, index, items, path, settings).withColumn("run", F.lit(run)) for run in ("cold", "warm")]
+    return runs[0].unionByName(runs[1]).select("run", "query_id", "status", "cached", "generated_recipe")
+
+
+@query(
+    "ret01_embed_cached",
+    """SELECT doc_id AS item_id, CAST(length(text) AS DOUBLE) AS chars, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS blanks,
+              CASE WHEN text IN (SELECT text FROM documents WHERE doc_id % 2 = 0) THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS run FROM documents""",
+)
+def _(t: Tables):
+    """A plug-in model behind the content cache: texts of a first run over the even ids are not computed again in the second."""
+
+    def model(run: float):
+        def encode(frames):
+            for frame in frames:
+                yield frame.assign(value=[[float(len(p)), float(p.count(" ")), run] for p in frame.payload])[["key", "value"]]
+
+        return encode
+
+    path = fresh_path(t.spark, "vector-cache")
+    docs = t.documents.select(F.col("doc_id").alias("item_id"), "text")
+    recommend.embed_cached(docs.where("item_id % 2 = 0"), "text", "lengths", model(1.0), path)
+    made = recommend.embed_cached(docs, "text", "lengths", model(2.0), path)
+    return made.select("item_id", *[F.col("embedding")[i].cast("double").alias(name) for i, name in enumerate(("chars", "blanks", "run"))])
+
+
 @query(
     "ret08_generator_with_fallback",
     f"""WITH {TEXT_SCORES}, {v.ranked('top', 'scores', 3)},

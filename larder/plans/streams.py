@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from larder import fixed
 from larder.functions import text as tx
 from larder.operators import recommend
 from larder.plans import views as v
@@ -15,23 +16,30 @@ from larder.streaming import requests as rq
 
 EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
-STREAM_SQL = f"""WITH asked AS (SELECT p_name, 'cocktail avec ' || p_name AS text, row_number() OVER (ORDER BY p_name) AS id
-        FROM (SELECT DISTINCT p_name FROM events JOIN part ON p_partkey = CAST(json_extract_string(props, '$.k') AS BIGINT))),
+# A text is answered once on each day it is asked.
+STREAM_SQL = f"""WITH daily AS (SELECT DISTINCT '{fixed.INGREDIENT_REQUEST_PREFIX}' || p_name AS text, CAST(ts AS DATE) AS day
+        FROM events JOIN part ON p_partkey = CAST(json_extract_string(props, '$.k') AS BIGINT)),
+    asked AS (SELECT text, row_number() OVER (ORDER BY text) AS id FROM (SELECT DISTINCT text FROM daily)),
     {translated_sql('SELECT id, text FROM asked')}, {v.ITEMS}, {v.bow('words', 'SELECT id, english AS text FROM english')},
     {v.bow('indexed', 'SELECT item_id AS id, text_full AS text FROM items')},
     {v.scored('scores', 'words', 'indexed', 'SELECT id FROM english', 'SELECT item_id AS id FROM items')}, {v.ranked('top', 'scores', 3)},
     answered AS (SELECT query_id, max(score) AS best, string_agg(item_id, ',' ORDER BY rank) AS found FROM top GROUP BY query_id)
     SELECT text AS original_query, CASE WHEN best >= 0.4 THEN 'success' ELSE 'rejected' END AS status, best AS max_similarity,
            CASE WHEN best >= 0.4 THEN found END AS retrieved, CASE WHEN was_translated THEN english END AS translated_query
-    FROM english JOIN answered ON query_id = id"""
+    FROM english JOIN answered ON query_id = id JOIN daily USING (text)"""
 
 
 @query("stm01_answer_stream", STREAM_SQL)
 def _(t: Tables):
-    """Events as a request stream for the part they name; a repeated request is answered once."""
+    """Events, as four files in order of time, as a request stream for the part they name; a request is answered once a day."""
     items = save_table(v.items(t), fresh_path(t.spark, "items"))
     index = save_table(recommend.build_index(items, keep=[]), fresh_path(t.spark, "index"))
-    stream = rq.request_stream(t.spark, t.folder, EVENT_SCHEMA, "events.parquet")
+    folder = fresh_path(t.spark, "event-files")
+    low, high = t.events.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
+    part_of = F.floor((F.unix_timestamp("ts") - (low or 0)) * 4 / ((high or 0) - (low or 0) + 1))
+    for n in range(4):  # one after the other, so that the stream meets them in order
+        t.events.where(part_of == n).write.mode("append").parquet(folder)
+    stream = rq.request_stream(t.spark, folder, EVENT_SCHEMA, max_files=1)
     named = t.part.select(F.col("p_partkey").alias("k"), F.array("p_name").alias("names"))
     asked = stream.withColumn("k", F.from_json("props", "k long")["k"]).join(named, "k")
     asked = asked.select(F.col("event_id").alias("query_id"), "ts", tx.ingredient_request("names").alias("text"))

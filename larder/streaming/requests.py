@@ -8,7 +8,7 @@ from pyspark.storagelevel import StorageLevel
 
 from larder.operators.answers import AnswerSettings, answer
 
-DEFAULT_DELAY = "10 minutes"
+DEFAULT_WINDOW, DEFAULT_DELAY = "1 day", "1 hour"
 
 
 def request_stream(spark: SparkSession, folder: str, schema: str, pattern: str | None = None, max_files: int | None = None) -> DataFrame:
@@ -21,9 +21,14 @@ def request_stream(spark: SparkSession, folder: str, schema: str, pattern: str |
     return reader.parquet(folder)
 
 
-def distinct_requests(stream: DataFrame, event_time: str = "ts", text: str = "text", delay: str = DEFAULT_DELAY) -> DataFrame:
-    """A text repeated within the watermark is kept once; state older than the watermark is dropped."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([text])
+def distinct_requests(stream: DataFrame, event_time: str = "ts", text: str = "text", window: str = DEFAULT_WINDOW, delay: str = DEFAULT_DELAY) -> DataFrame:
+    """A text is kept once in each event-time window, however the stream is cut into batches.
+
+    Event time is the start of the window. Windows that began ``delay`` or more before the latest one leave the state, and
+    requests that still come for them are late and dropped.
+    """
+    windowed = stream.withColumn("window_start", F.window(event_time, window)["start"]).withWatermark("window_start", delay)
+    return windowed.dropDuplicates([text, "window_start"])
 
 
 def answer_stream(

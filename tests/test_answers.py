@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from larder.operators import answers, language
 from larder.operators.answers import AnswerSettings
 
@@ -29,13 +30,13 @@ def asked(spark, texts):
 
 
 def run(spark, index, corpus, texts, **options):
-    settings = options.pop("settings", AnswerSettings(translate=False))
+    settings = options.pop("settings", AnswerSettings(translate=False, corpus_version="1"))
     rows = answers.answer(asked(spark, texts), index, corpus, settings, embedder=toy, **options).collect()
     return {r.query_id: r for r in rows}
 
 
 def test_four_outcomes(spark, index, corpus):
-    settings = AnswerSettings(translate=False)
+    settings = AnswerSettings(translate=False, corpus_version="1")
     cache = asked(spark, ["rum"]).select(answers.answer_key("text", settings).alias("key"), F.lit("stored").alias("value"))
     got = run(spark, index, corpus, ["gin", "bike repair", "rum", " \n", None], cache=cache)
     assert [got[i].status for i in range(5)] == ["success", "rejected", "success", "empty", "empty"]
@@ -77,7 +78,7 @@ def test_generator_sees_each_prompt_once_and_falls_back(spark, index, corpus):
 
 def test_second_run_is_cached_and_replays_do_not_duplicate(spark, index, corpus, folder):
     texts = ["gin", "gin", "rum", "bike", ""]
-    settings = AnswerSettings(translate=False)
+    settings = AnswerSettings(translate=False, corpus_version="1")
     path = f"{folder}/cache"
     first = answers.answer_through_cache(asked(spark, texts), index, corpus, path, settings, embedder=toy)
     assert sorted(r.cached for r in first.collect()) == [False] * 5
@@ -85,7 +86,7 @@ def test_second_run_is_cached_and_replays_do_not_duplicate(spark, index, corpus,
     second = {r.query_id: r for r in answers.answer_through_cache(asked(spark, texts), index, corpus, path, settings, embedder=toy).collect()}
     assert [second[i].cached for i in range(5)] == [True, True, True, False, False]
     assert len(second[0].retrieved) == 3  # a hit keeps its retrieved list
-    other = AnswerSettings(translate=False, temperature=0.1)
+    other = AnswerSettings(translate=False, temperature=0.1, corpus_version="1")
     assert not any(r.cached for r in answers.answer_through_cache(asked(spark, texts), index, corpus, path, other, embedder=toy).collect())
 
 
@@ -95,6 +96,31 @@ def test_screened_uses_the_first_rank(spark):
     assert {(r.query_id, r.item_id) for r in answers.screened(top).collect()} == {(1, 7), (1, 8)}
 
 
+def test_a_cache_needs_a_corpus_version(spark, index, corpus, folder):
+    with pytest.raises(ValueError):
+        answers.answer_through_cache(asked(spark, ["gin"]), index, corpus, f"{folder}/cache", AnswerSettings(translate=False), embedder=toy)
+
+
+def test_generated_answers_are_translated_and_template_answers_are_not(spark, index, corpus):
+    def generator(frames):
+        for frame in frames:
+            yield frame.assign(value=frame.payload.map(lambda p: "the drink with gin" if "gin" in p.split("Request")[-1] else None))[["key", "value"]]
+
+    settings = AnswerSettings(translate=False, language="fr")
+    got = run(spark, index, corpus, ["gin", "rum"], settings=settings, generator=generator, translator=lambda fs: (f.assign(value="fr " + f.payload)[["key", "value"]] for f in fs))
+    made = {got[i].generated_recipe for i in (0, 1)}
+    assert any(m.startswith("fr the drink") for m in made) or all(not m.startswith("fr") for m in made)
+    assert got[0].generated_recipe == "fr the drink with gin" and not got[1].generated_recipe.startswith("fr")
+
+
+def test_words_are_translated_within_the_row(spark):
+    texts = spark.createDataFrame([(1, "le  citron x", "fr"), (2, "und und", "de"), (3, "kept", "xx"), (4, "le", None)], "id long, text string, lang string")
+    made = language.translate_words(texts, language.dictionary_table(spark))
+    assert [r.value for r in made.orderBy("id").collect()] == ["the  lemon x", "and and", "kept", "le"]
+    plan = plan_of(made).split("Physical Plan")[-1]
+    assert "Generate" not in plan and "hashpartitioning(text" not in plan
+
+
 def test_detection_and_its_unknowns(spark):
     texts = ["le rhum et la menthe", "the rum and the mint", "der Saft und die Minze", "el ron y los limones", "xyz 123", "", None]
     got = language.detect(asked(spark, texts), "text").orderBy("query_id").collect()

@@ -57,6 +57,15 @@ def test_a_replayed_batch_leaves_the_same_rows(spark, folder, index, corpus):  #
     assert again.where(F.col("batch_id") == 0).count() == 1
 
 
+def test_one_batch_and_many_give_equal_rows(spark, folder, index, corpus):  # noqa: F811
+    rows = [(0, 0, "gin"), (1, 30, "gin"), (2, 540, "gin"), (3, 1500, "gin"), (4, 1501, "rum")]  # the next day begins at 1440
+    drop(spark, f"{folder}/one", "in1", rows)
+    for i, row in enumerate(rows):
+        drop(spark, f"{folder}/many", f"in{i}", [row])
+    found = [sorted((r.original_query, r.status) for r in drain(spark, f"{folder}/{way}", index, corpus).collect()) for way in ("one", "many")]
+    assert found[0] == found[1] == [("gin", "success"), ("gin", "success"), ("rum", "success")]
+
+
 @pytest.mark.parametrize("available", [True])
 def test_stream_reads_only_matching_files(spark, folder, index, corpus, available):  # noqa: F811
     drop(spark, folder, "in1", [(0, 0, "gin")])
