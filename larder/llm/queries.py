@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from larder.llm import decontamination, extraction, interpolation, language_id, licenses, mixing, near_duplicates, outliers, token_files, url_filter
-from larder.llm.common import id_bucket, stored, words
+from larder.llm.common import LETTERS_AND_DIGITS, LOWER, UPPER, WORD, id_bucket, stored, words
 from larder.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,7 +64,23 @@ def write_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
-@query("op5_decontaminate")
+_LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+
+DECONTAMINATE_SQL = f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{LETTERS_AND_DIGITS}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{LETTERS_AND_DIGITS}') AS w FROM benchmark),
+pattern AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 9), ' '))) AS p,
+            least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM pattern),
+runs AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(list_slice(w, i, i + n - 1), ' '))) AS p
+         FROM d CROSS JOIN sizes WHERE len(w) >= n),
+found AS (SELECT doc_id, i, n, item_id FROM runs JOIN pattern USING (n, p)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+
+@query("op5_decontaminate", DECONTAMINATE_SQL)
 def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside a benchmark window."""
     found = decontamination.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -81,7 +97,17 @@ def language_model(spark: SparkSession, folder: str) -> DataFrame:
     return interpolation.score(docs)
 
 
-@query("op7_near_duplicates")
+NEAR_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' '))) AS g FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least_ AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM least_ LEFT JOIN n USING (doc_id)"""
+
+
+@query("op7_near_duplicates", NEAR_SQL)
 def link_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are similar by 0.85 or more."""
     return near_duplicates.link(table(spark, folder, "documents"), 3, 85).select("doc_id", "n_shingles", "component_id", "kept")
