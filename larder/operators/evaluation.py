@@ -187,7 +187,7 @@ def _ngrams(tokens: Column, n: int, generated: int, reference: int) -> Column:
 
     def gram(start: Column) -> Column:
         return F.struct(
-            F.lit(n).alias("n"), F.array_join(F.slice(tokens, start, n), " ").alias("gram"),
+            F.lit(n).alias("n"), F.xxhash64(F.array_join(F.slice(tokens, start, n), " ")).alias("gram"),
             F.lit(generated).alias("g"), F.lit(reference).alias("r"),
         )
 
@@ -198,7 +198,7 @@ def bleu(pairs: DataFrame, key: str = "pair_id", generated: str = "generated", r
          order: int = fixed.BLEU_ORDER) -> DataFrame:
     """Smoothed sentence BLEU per pair: ``key, bleu4``.
 
-    n-grams of both sides are counted per (pair, n, gram) with map-side partial
+    n-grams of both sides are counted per (pair, n, hash of the gram) with map-side partial
     sums, so one very long pair spreads over all tasks.
     """
     sized = pairs.select(

@@ -39,26 +39,23 @@ def top_terms(docs: DataFrame, text: str, max_features: int = fixed.TFIDF_FEATUR
 
 
 def term_counts(docs: DataFrame, text: str, terms: DataFrame, id_column: str = "item_id") -> DataFrame:
-    """``(id, slot, n)`` over known terms; unknown ones share the null slot.
+    """``(id, entries)``: the known terms of each text as ``array<struct<slot, n>>``, by slot; one row per id.
 
-    A text lies in one task, so the map-side aggregate already sends one row per
-    posting.
+    Texts are dealt out by id first. Both aggregates below then find the rows of an id together, so no posting is shuffled.
     """
-    known = F.broadcast(terms.select("term", "slot"))
-    rows = term_rows(docs, text, id_column).join(known, "term", "left")
-    return rows.groupBy(id_column, "slot").agg(F.count("*").alias("n"))
-
-
-def weighted(counts: DataFrame, vocabulary: DataFrame, id_column: str = "item_id") -> DataFrame:
-    """Unit TF-IDF vectors ``(id, embedding)``; a text without known terms gets an empty one."""
-    entries = counts.join(F.broadcast(vocabulary.select("slot", "idf")), "slot", "left")
-    weight = F.col("n") * F.col("idf")
-    entry = F.when(F.col("slot").isNotNull(), F.struct("slot", weight.alias("weight")))
-    grouped = entries.groupBy(id_column).agg(
-        F.collect_list(entry).alias("entries"), F.sqrt(F.sum(weight * weight)).alias("length")
-    )
-    weights = F.transform("entries", lambda e: e["weight"] / F.col("length"))
-    return grouped.select(id_column, F.struct(F.col("entries.slot").alias("slots"), weights.alias("weights")).alias("embedding"))
+    known = F.broadcast(terms.select("term", "slot"))  # at most max_features rows
+    rows = term_rows(docs.select(id_column, text).repartition(id_column), text, id_column).join(known, "term", "left")
+    counts = rows.groupBy(id_column, "slot").agg(F.count("*").alias("n"))
+    entry = F.when(F.col("slot").isNotNull(), F.struct("slot", "n"))
+    return counts.groupBy(id_column).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+
+
+def weighted(counts: DataFrame, idf: list[float], id_column: str = "item_id") -> DataFrame:
+    """Unit TF-IDF vectors ``(id, embedding)``, made within the row; a text without known terms gets an empty one."""
+    weights = counts.select(id_column, "entries", F.transform("entries", lambda e: e["n"] * F.get(F.lit(idf or [0.0]), e["slot"])).alias("_w"))
+    length = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda total, w: total + w * w))
+    unit = weights.withColumn("_length", length)
+    return unit.select(id_column, F.struct(F.col("entries.slot").alias("slots"), F.transform("_w", lambda w: w / F.col("_length")).alias("weights")).alias("embedding"))
 
 
 @dataclass(frozen=True)
@@ -66,13 +63,14 @@ class TfidfIndex:
     """A fitted index: both tables are written, so no use of it repeats the fit."""
 
     vocabulary: DataFrame  # term, slot, tf, df, idf
-    counts: DataFrame  # item_id, slot, n
+    item_vectors_: DataFrame  # item_id, embedding
+    idf: list[float]  # by slot, at most max_features numbers
 
     def item_vectors(self) -> DataFrame:
-        return weighted(self.counts, self.vocabulary)
+        return self.item_vectors_
 
     def vectors(self, docs: DataFrame, text: str, id_column: str) -> DataFrame:
-        return weighted(term_counts(docs, text, self.vocabulary, id_column), self.vocabulary, id_column)
+        return weighted(term_counts(docs, text, self.vocabulary, id_column), self.idf, id_column)
 
 
 def fit(items: DataFrame, text: str = "text_full", max_features: int = fixed.TFIDF_FEATURES) -> TfidfIndex:
@@ -86,11 +84,12 @@ def fit(items: DataFrame, text: str = "text_full", max_features: int = fixed.TFI
 
     terms = stored(top_terms(items, text, max_features), "tfidf-terms")
     counts = stored(term_counts(items, text, terms), "tfidf-counts")
-    per_slot = counts.where(F.col("slot").isNotNull()).groupBy("slot").agg(F.count("*").alias("df"))
-    total = items.agg(F.count("*")).scalar()
+    per_slot = counts.select(F.explode("entries.slot").alias("slot")).groupBy("slot").agg(F.count("*").alias("df"))
+    total = counts.count()
     idf = F.log((1 + total) / (1 + F.col("df"))) + 1
-    vocabulary = terms.join(F.broadcast(per_slot), "slot").select("term", "slot", "tf", "df", idf.alias("idf"))
-    return TfidfIndex(stored(vocabulary, "tfidf-vocabulary"), counts)
+    vocabulary = stored(terms.join(F.broadcast(per_slot), "slot").select("term", "slot", "tf", "df", idf.alias("idf")), "tfidf-vocabulary")
+    by_slot = [r["idf"] for r in vocabulary.select("slot", "idf").orderBy("slot").collect()]
+    return TfidfIndex(vocabulary, stored(weighted(counts, by_slot), "tfidf-vectors"), by_slot)
 
 
 def postings(vectors: DataFrame, id_column: str = "item_id") -> DataFrame:

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larder import fixed
 from larder.functions import text as tx
+from larder.session import fresh_path
 
 
 def value_counts(df: DataFrame, column: str, n: int | None = None, value: str = "value", count: str = "n") -> DataFrame:
@@ -122,9 +123,8 @@ def _correlation(a: str, b: str) -> Column:
 def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
     """mean, median, max, min per numeric column: ``column, mean, median, max, min``.
 
-    The exact median is taken over (value, frequency) rows, so its buffer grows
-    with the number of distinct values, not rows. ``accuracy`` switches to the
-    approximate percentile for columns that are nearly all distinct.
+    The exact median is found by rank over (value, frequency) rows dealt out by range, so no task holds more than a
+    range. ``accuracy`` switches to the approximate percentile.
     """
     stacked = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns]))
@@ -134,7 +134,28 @@ def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) ->
         middle = stacked.groupBy("column").agg(F.percentile_approx("x", 0.5, accuracy).alias("median"))
         rest = counts.groupBy("column").agg(*_weighted())
         return rest.join(middle, "column")
-    return counts.groupBy("column").agg(*_weighted(), F.percentile("x", 0.5, F.col("n")).alias("median"))
+    path = fresh_path(df.sparkSession, "value-counts")
+    counts.repartitionByRange("column", "x").withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    counts = df.sparkSession.read.parquet(path)
+    return counts.groupBy("column").agg(*_weighted()).join(_medians(counts), "column")
+
+
+def _medians(counts: DataFrame) -> DataFrame:
+    """``column, median`` of rows ``column, x, n, _range`` that are dealt out by range: only the range of the middle ranks is ordered."""
+    sizes = counts.groupBy("column", "_range").agg(F.sum("n").alias("_n"))  # one row per column and range
+    by = Window.partitionBy("column")
+    before = F.coalesce(F.sum("_n").over(by.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = sizes.withColumns({"_before": before, "_all": F.sum("_n").over(by)})
+    spans = spans.withColumns({"_low": F.floor((F.col("_all") - 1) / 2), "_high": F.floor(F.col("_all") / 2)})
+    middle = spans.where((F.col("_before") <= F.col("_high")) & (F.col("_before") + F.col("_n") > F.col("_low"))).drop("_n", "_all")
+    rows = counts.join(F.broadcast(middle), ["column", "_range"])  # two ranges of a column at most
+    upto = F.col("_before") + F.sum("n").over(Window.partitionBy("column", "_range").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
+    placed = rows.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("n"))
+
+    def at(rank: str) -> Column:
+        return F.max(F.when((F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_upto")), F.col("x")))
+
+    return placed.groupBy("column").agg(((at("_low") + at("_high")) / 2).alias("median"))
 
 
 def _weighted() -> list[Column]:
