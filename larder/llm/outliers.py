@@ -22,7 +22,7 @@ from larder.llm.common import WORD, filled, stored, total, words
 GRID = 1000  # statistics are kept as whole thousandths
 SUPPORT = 0.75
 STEPS = 4
-TAIL = 1e-6  # share of a clean normal group that may be rejected
+TAIL = 0.01  # share of a normal group beyond the distance; the floors below make it far less for clean text
 LEAST_GROUP = 50  # documents; a smaller group is judged with the other small ones of its language
 # Least standard deviation of each statistic: what any clean group may vary by.
 FLOORS = {"x1": 0.15, "x2": 0.08, "x3": 0.12, "x4": 0.12}
