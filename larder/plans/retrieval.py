@@ -201,6 +201,28 @@ def _(t: Tables):
     return approximate.recall_against(similarity.top_k(asked, items, 5, SELF), found)
 
 
+PROBED_SQL = f"""WITH {VECTOR_SCORES},
+    dims AS (SELECT label, unnest(range(1, len(e) + 1)) AS i, unnest(e) AS x FROM vectors),
+    means AS (SELECT label, i, avg(x) AS x FROM dims GROUP BY ALL),
+    centres AS (SELECT label, list(x ORDER BY i) AS m, sqrt(sum(x * x)) AS len FROM means GROUP BY label),
+    near AS (SELECT id, c.label AS cell, row_number() OVER (PARTITION BY id ORDER BY list_dot_product(e, m) / len DESC, c.label) AS r FROM vectors CROSS JOIN centres c),
+    probed AS (SELECT s.query_id, s.item_id, s.score FROM scores s JOIN near q ON q.id = s.query_id AND q.r <= 2
+               JOIN near i ON i.id = s.item_id AND i.r = 1 AND i.cell = q.cell), {v.ranked('top', 'probed', 5)}
+    SELECT query_id, item_id, score, rank FROM top"""
+
+
+@query("ret04_probed_matches", PROBED_SQL)
+def _(t: Tables):
+    """The matches within the two nearest cells of each request; cells are the mean vectors of the labels, the index is stored by cell."""
+    items = v.vector_items(t)
+    dims = items.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    means = dims.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("m")).orderBy("label")
+    centres = approximate.unit_centres([[x["x"] for x in r["m"]] for r in means.collect()])  # one row per label
+    path = fresh_path(t.spark, "cell-index")
+    approximate.build_cell_index(items, centres).write.partitionBy("cell").parquet(path)
+    return approximate.probe_top_k(v.vector_requests(t), t.spark.read.parquet(path), centres, 5, 2, SELF)
+
+
 LEXICAL_SCORES = (
     v.BENCHMARK_REQUESTS + "," + v.tfidf("fit", "SELECT doc_id AS id, text FROM documents") + ","
     + v.tfidf_vectors("asked", "fit_vocab", "SELECT query_id AS id, text FROM requests") + ","
