@@ -10,7 +10,7 @@ leaves open is settled in further rounds, exactly: Jaccard distance is a metric,
 
 * classes linked with the centre are one component, and pairs among them need no test;
 * a class whose similarity to the centre is under 2 t - 1 is linked with none of those linked to the centre;
-* classes not linked with the centre meet in the next round's star;
+* classes not linked with the centre meet in the next round's stars, of a few more centres;
 * a class between 2 t - 1 and t that is still in another component is paired with the centre's linked ones.
 
 Components are found by alternating large and small stars on the edges; every round is written to the shared folder.
@@ -23,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import filled, lower_ascii, stored, words
 
 MISS = 1e-6  # chance that two sets at the threshold meet in no band
+MOST_CENTRES = 64  # of a bucket and round
 PROBES = 64  # probes of an empty bin; after them the next full bin on its right
 
 
@@ -180,14 +181,16 @@ def link(docs: DataFrame, size: int = 3, percent: int = 85, rows: int = 6) -> Da
     stars = stored(buckets.join(centres, "band").where(F.col("node") != F.col("a")).select("band", "a", F.col("node").alias("b")), "minhash-stars")
     pairs = stored(stars.select("a", "b").distinct(), "minhash-pairs")
     texts = None
-    edges = roots = None
+    roots = None
     turn = 0
     while True:
         texts = texts or stored(_texts(docs, classes, pairs), "minhash-texts")  # later rounds pair the same classes
         checked = stored(_confirmed(pairs, texts, size, percent), "minhash-checked")
         linked = checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        edges = linked if edges is None else linked.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        roots = stored(components(edges), "minhash-roots")
+        if roots is None:
+            roots = stored(components(linked), "minhash-roots")
+        elif not linked.isEmpty():
+            roots = stored(components(linked.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))), "minhash-roots")
         turn += 1
         stars = stored(_open_stars(stars.join(checked, ["a", "b"]), roots, turn), "minhash-stars")
         pairs = stored(stars.select("a", "b").distinct(), "minhash-pairs")
@@ -217,14 +220,19 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 def _open_stars(judged: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     """(band, a, b): the pairs that a round (band, a, b, linked, near) leaves to be tested.
 
-    Members not linked with their centre meet in a new star, if they are of several components. A near
-    one in another component than the centre is paired with what is linked to the centre.
+    Members linked with no centre meet in new stars, if they are of several components: four, then sixteen, then
+    64 centres in a bucket and round. A near one in another component than the centre is paired with what is linked to the centre.
     """
-    rest = _rooted(judged.where(~F.col("linked")).select("band", "a", "b", "near"), "b", roots, "rb")
-    again = rest.select(F.xxhash64("band", F.lit(turn)).alias("band"), F.col("b").alias("node"), "rb")
-    mixed = again.groupBy("band").agg(F.min("node").alias("a"), F.min("rb").alias("_low"), F.max("rb").alias("_high")).where(F.col("_low") != F.col("_high")).select("band", "a")
-    stars = again.join(mixed, "band").where(F.col("node") != F.col("a")).select("band", "a", F.col("node").alias("b"))
-    between = _rooted(rest.where("near"), "a", roots, "ra").where(F.col("ra") != F.col("rb")).select("band", F.col("a").alias("_c"), F.col("b").alias("_b"))
+    unlinked = judged.groupBy("band", F.col("b").alias("node")).agg(F.max("linked").alias("_any")).where(~F.col("_any")).drop("_any")
+    tested = judged.select("band", F.col("a").alias("node")).distinct()  # a centre has met all others of its bucket
+    again = _rooted(unlinked.join(tested, ["band", "node"], "left_anti"), "node", roots, "root")
+    mixed = again.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(F.col("_low") != F.col("_high")).select("band")
+    members = again.join(mixed, "band").select(F.xxhash64("band", F.lit(turn)).alias("band"), "node")
+    place = F.row_number().over(Window.partitionBy("band").orderBy("node"))
+    centres = members.withColumn("_place", place).where(F.col("_place") <= min(4**turn, MOST_CENTRES)).select("band", F.col("node").alias("a"))
+    stars = members.join(centres, "band").where(F.col("node") > F.col("a")).select("band", "a", F.col("node").alias("b"))
+    near = _rooted(_rooted(judged.where(~F.col("linked") & F.col("near")).select("band", "a", "b"), "a", roots, "ra"), "b", roots, "rb")
+    between = near.where(F.col("ra") != F.col("rb")).select("band", F.col("a").alias("_c"), F.col("b").alias("_b"))
     hanging = judged.where("linked").select("band", F.col("a").alias("_c"), F.col("b").alias("_m"))
     crossed = between.join(hanging, ["band", "_c"]).select(F.xxhash64("band", "_b", F.lit(turn)).alias("band"), F.col("_b").alias("a"), F.col("_m").alias("b"))
     return stars.union(crossed)
