@@ -4,7 +4,7 @@ A document's set is its distinct word shingles, as 64-bit hashes. One hash of ea
 both a bin and a value; the smallest value of each bin is the sketch, and empty bins borrow from full ones by
 a fixed random probe sequence (optimal densification). Bands of bins are the buckets.
 
-Documents with equal sets are one class. Every class in a bucket is paired with the bucket's first class
+Documents with equal sets are one class. Every class in a bucket is paired with one centre, the class that shares buckets with most others,
 only, so pairs grow with the bucket's size and not with its square. Pairs are confirmed on the full sets. What a star
 leaves open is settled in further rounds, exactly: Jaccard distance is a metric, so with threshold t
 
@@ -19,6 +19,7 @@ Components are found by alternating large and small stars on the edges; every ro
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +28,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import filled, lower_ascii, stored, words
+from larder.session import fresh_path
 
 MISS = 1e-6  # chance that two sets at the threshold meet in no band
 MOST_CENTRES = 64  # of a bucket and round
+BROADCAST_ROWS = 500_000  # of two numbers: some ten MB
 PROBES = 64  # probes of an empty bin; after them the next full bin on its right
 
 
@@ -176,26 +179,28 @@ def link(docs: DataFrame, size: int = 3, percent: int = 85, rows: int = 6) -> Da
     full = marked.where(F.col("n_shingles") > 0)
     # Equal sets have equal numbers; two different sets share a 64-bit number with odds of 2^-64.
     classes = stored(full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min(_row_key("text_hash")).alias("holder"), F.first("bands").alias("bands")), "minhash-classes")
-    buckets = classes.select(F.explode("bands").alias("band"), "node")
-    centres = buckets.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    alone = Window.partitionBy("band")
+    buckets = classes.select(F.explode("bands").alias("band"), "node").withColumn("_n", F.count(F.lit(1)).over(alone)).where(F.col("_n") > 1)
+    buckets = stored(buckets, "minhash-buckets")
+    # The text that others were made from shares buckets with more classes than its copies do: it makes the best centre.
+    ranks = stored(buckets.groupBy("node").agg(F.sum("_n").alias("rank")), "minhash-ranks")
+    best = F.max(F.struct("rank", "node"))["node"].alias("a")
+    centres = buckets.join(ranks, "node").groupBy("band").agg(best)
     stars = stored(buckets.join(centres, "band").where(F.col("node") != F.col("a")).select("band", "a", F.col("node").alias("b")), "minhash-stars")
-    pairs = stored(stars.select("a", "b").distinct(), "minhash-pairs")
-    texts = None
-    roots = None
-    turn = 0
-    while True:
-        texts = texts or stored(_texts(docs, classes, pairs), "minhash-texts")  # later rounds pair the same classes
-        checked = stored(_confirmed(pairs, texts, size, percent), "minhash-checked")
+    texts = _texts(docs, classes, ranks.select("node"))  # later rounds pair the same classes
+    roots, turn = None, 0
+    while not stars.isEmpty():
+        turn += 1
+        checked = stored(_confirmed(stars.select("a", "b").distinct(), texts, size, percent), "minhash-checked")
         linked = checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         if roots is None:
             roots = stored(components(linked), "minhash-roots")
         elif not linked.isEmpty():
-            roots = stored(components(linked.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))), "minhash-roots")
-        turn += 1
-        stars = stored(_open_stars(stars.join(checked, ["a", "b"]), roots, turn), "minhash-stars")
-        pairs = stored(stars.select("a", "b").distinct(), "minhash-pairs")
-        if pairs.isEmpty():
-            break
+            roots = stored(_merged(roots, linked), "minhash-roots")
+        judged = _rooted(_rooted(stars.join(checked, ["a", "b"]), "a", roots, "ra"), "b", roots, "rb")
+        stars = stored(_open_stars(stored(judged, "minhash-judged"), ranks, turn), "minhash-stars")
+    if roots is None:
+        roots = docs.sparkSession.createDataFrame([], "node long, root long")
 
     named = _rooted(classes.select("node", "first_id"), "node", roots, "root")
     firsts = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -209,32 +214,48 @@ def _row_key(text_hash: str):
     return F.xxhash64("doc_id", text_hash)
 
 
-def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, text) of the classes in a pair: the text of one row of each."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    holders = wanted.join(classes.select("node", "holder"), "node")
+def _texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the classes in a bucket with others, the text of one row of each, as a table bucketed by node.
+
+    Rounds join it by node without shuffling it. The rows wanted are broadcast if they are at most BROADCAST_ROWS
+    pairs of numbers, else joined by shuffle.
+    """
+    spark = docs.sparkSession
+    holders = stored(nodes.join(classes.select("node", "holder"), "node"), "minhash-holders")
+    wanted = F.broadcast(holders) if holders.count() <= BROADCAST_ROWS else holders
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select(_row_key("text_hash").alias("holder"), "text")
-    return rows.join(holders, "holder").dropDuplicates(["holder"]).select("node", "text")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.join(wanted, "holder").select("node", "text").repartition(n, "node").dropDuplicates(["node"])
+    name = f"minhash_texts_{uuid.uuid4().hex}"
+    found.write.bucketBy(n, "node").option("path", fresh_path(spark, "minhash-texts")).saveAsTable(name)
+    return spark.table(name)
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The roots after more links: only the links between components are worked through."""
+    between = _rooted(_rooted(links, "u", roots, "ru"), "v", roots, "rv").where(F.col("ru") != F.col("rv"))
+    moved = components(between.select(F.col("ru").alias("u"), F.col("rv").alias("v")))
+    known = roots.union(moved.select("node", F.col("node").alias("root")).join(roots.select("node"), "node", "left_anti"))
+    return _rooted(known, "root", moved, "to").select("node", F.col("to").alias("root"))
 
 
-def _open_stars(judged: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """(band, a, b): the pairs that a round (band, a, b, linked, near) leaves to be tested.
+def _open_stars(judged: DataFrame, ranks: DataFrame, turn: int) -> DataFrame:
+    """(band, a, b): the pairs that a round (band, a, b, linked, near, ra, rb) leaves to be tested; ra and rb are the roots.
 
     Members linked with no centre meet in new stars, if they are of several components: four, then sixteen, then
     64 centres in a bucket and round. A near one in another component than the centre is paired with what is linked to the centre.
     """
-    unlinked = judged.groupBy("band", F.col("b").alias("node")).agg(F.max("linked").alias("_any")).where(~F.col("_any")).drop("_any")
-    tested = judged.select("band", F.col("a").alias("node")).distinct()  # a centre has met all others of its bucket
-    again = _rooted(unlinked.join(tested, ["band", "node"], "left_anti"), "node", roots, "root")
-    mixed = again.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(F.col("_low") != F.col("_high")).select("band")
-    members = again.join(mixed, "band").select(F.xxhash64("band", F.lit(turn)).alias("band"), "node")
-    place = F.row_number().over(Window.partitionBy("band").orderBy("node"))
-    centres = members.withColumn("_place", place).where(F.col("_place") <= min(4**turn, MOST_CENTRES)).select("band", F.col("node").alias("a"))
-    stars = members.join(centres, "band").where(F.col("node") > F.col("a")).select("band", "a", F.col("node").alias("b"))
-    near = _rooted(_rooted(judged.where(~F.col("linked") & F.col("near")).select("band", "a", "b"), "a", roots, "ra"), "b", roots, "rb")
-    between = near.where(F.col("ra") != F.col("rb")).select("band", F.col("a").alias("_c"), F.col("b").alias("_b"))
-    hanging = judged.where("linked").select("band", F.col("a").alias("_c"), F.col("b").alias("_m"))
-    crossed = between.join(hanging, ["band", "_c"]).select(F.xxhash64("band", "_b", F.lit(turn)).alias("band"), F.col("_b").alias("a"), F.col("_m").alias("b"))
+    # A centre has met all others of its bucket, so it counts as settled.
+    seen = judged.select("band", F.col("b").alias("node"), F.col("rb").alias("root"), "linked").union(judged.select("band", "a", "ra", F.lit(True)))
+    left = seen.groupBy("band", "node", "root").agg(F.max("linked").alias("_any")).where(~F.col("_any")).join(ranks, "node")
+    by = Window.partitionBy("band")
+    ranked = left.select("band", "node", F.min("root").over(by).alias("_low"), F.max("root").over(by).alias("_high"), F.row_number().over(by.orderBy(F.desc("rank"), "node")).alias("_place"))
+    members = ranked.where(F.col("_low") != F.col("_high"))
+    centres = members.where(F.col("_place") <= min(4**turn, MOST_CENTRES)).select("band", F.col("node").alias("a"), F.col("_place").alias("_first"))
+    stars = members.join(centres, "band").where(F.col("_place") > F.col("_first")).select(F.xxhash64("band", F.lit(turn)).alias("band"), "a", F.col("node").alias("b"))
+    between = judged.where(~F.col("linked") & F.col("near") & (F.col("ra") != F.col("rb"))).select("band", "a", F.col("b").alias("_b"))
+    hanging = judged.where("linked").select("band", "a", F.col("b").alias("_m"))
+    crossed = between.join(hanging, ["band", "a"]).select(F.xxhash64("band", "_b", F.lit(turn)).alias("band"), F.col("_b").alias("a"), F.col("_m").alias("b"))
     return stars.union(crossed)
 
 
