@@ -4,7 +4,7 @@ p(w | h) mixes the maximum-likelihood bigram, unigram and uniform estimates. The
 context h was seen (powers of two) and are learned by expectation-maximisation on held-out counts: each training token
 is deleted from the counts it is predicted with.
 
-Texts become blocks of some million tokens: the hashes of a block's words and the tokens as places among
+Texts become blocks of a million tokens or two: the hashes of a block's words and the tokens as places among
 them. A block sends each distinct word and word pair once, with its count, to the key range it belongs to; ranges add up the
 counts of all blocks and answer each block with the totals of its keys, in order. So what is shuffled is pre-aggregated, no key
 is in a range more often than there are blocks, and hot words make no hot task. Blocks lie in a bucketed table, so the answers come to
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from larder.llm.common import WORD, filled, lower_ascii, stored, words
 from larder.session import fresh_path
 
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_500_000
 RANGE_TOKENS = 1_000_000  # tokens of the corpus for each key range
 LEAST_RANGES = 200
 GRID = 4  # cells for each doubling of a probability in the held-out histogram
