@@ -146,7 +146,9 @@ def mixed_texts(mixed: DataFrame, size: str = "size") -> DataFrame:
     A row taken whole twice is two rows; a row not taken is none. Other columns are kept.
     """
     pieces = F.regexp_extract_all(filled("text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
-    cut = F.array_join(F.flatten(F.transform("picked", lambda r: F.slice(F.col("_pieces"), (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), "")
+    # As an element of an array the pieces are made once; named in the inner lambda they would be made for every range.
+    both = F.array(F.struct(pieces.alias("pieces"), F.col("picked").alias("ranges")))
+    cut = F.transform(both, lambda b: F.array_join(F.flatten(F.transform(b["ranges"], lambda r: F.slice(b["pieces"], (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), ""))[0]
     whole = mixed.where(F.col("passes") > 0).withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes")))).drop("_pass").where(F.col(size) > 0)
-    part = mixed.where(F.size("picked") > 0).withColumn("_pieces", pieces).withColumn("text", cut).drop("_pieces")
+    part = mixed.where(F.size("picked") > 0).withColumn("text", cut)
     return whole.unionByName(part)
