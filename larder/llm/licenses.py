@@ -1,7 +1,7 @@
 """License scans: ordered signature rules behind keyword gates.
 
-A text becomes its lower-cased words with one blank between. Three gates keep regular expressions away from text
-that cannot match: any anchor in the text, then the keyword of each rule. Every rule's matches are intervals of
+A text becomes its lower-cased words with one blank between. Two gates keep regular expressions away from text
+that cannot match: a word that any rule needs, read from the rules, then the keyword of each rule. Every rule's matches are intervals of
 characters. Sorted by start, longest first, an interval that lies inside an earlier one of the same or a better priority is
 suppressed. What is left gives the labels. All steps are built-in expressions within the row.
 """
@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import LETTERS_AND_DIGITS, filled, lower_ascii
 
-ANCHORS = r"(?i)licen[sc]|copyright|copyleft|permission|warrant|public domain|spdx|redistribut"
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RAW_LETTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+RAW_WORD = f"{RAW_LETTER}+"
+LICENSE = "licen[sc]"
 
 # The phrases and labels of the query contract.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -90,6 +91,12 @@ def signatures() -> list[tuple[str, str, int, str]]:
     return found
 
 
+def anchors() -> str:
+    """Matches raw text that may hold a rule's statement: most rules need a word with LICENSE, each of the others its keyword."""
+    needed = dict.fromkeys(LICENSE if LICENSE in pattern else keyword for _, keyword, _, pattern in signatures())
+    return f"(?<!{RAW_LETTER})(?i:{'|'.join(needed)})"
+
+
 def _rules() -> Column:
     rows = [F.struct(F.lit(label).alias("label"), F.lit(keyword).alias("keyword"), F.lit(priority).alias("priority"), F.lit(f" {pattern}(?= )").alias("pattern")) for label, keyword, priority, pattern in signatures()]
     return F.array(*rows)
@@ -122,7 +129,7 @@ def detect(docs: DataFrame) -> DataFrame:
     labels, null places. The whole text is scanned. Repeated rows give repeated rows.
     """
     raw = filled("text")
-    gate = raw.rlike(ANCHORS)
+    gate = raw.rlike(anchors())
     n_words = F.regexp_count(raw, F.lit(RAW_WORD))
     normal = F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(lower_ascii(raw), F.lit(LETTERS_AND_DIGITS), F.lit(0)), " "), F.lit(" "))
     gated = docs.select("doc_id", n_words.cast("long").alias("n_words"), F.when(gate, normal).otherwise(F.lit("")).alias("_text"))

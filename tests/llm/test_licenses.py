@@ -73,3 +73,20 @@ def test_rules_and_plan(spark):
     plan = plan_of(licenses.detect(docs))
     assert "Python" not in plan and "Arrow" not in plan
     assert licenses.detect(docs.where(F.lit(False))).count() == 0
+
+
+def _statement(pattern):
+    """The shortest text that a rule's pattern matches."""
+    while "(?:" in pattern:
+        pattern = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)", r"\1", re.sub(r"\(\?:[^()]*\)\?", "", pattern, count=1), count=1)
+    return re.sub(r"\[(.)[^\]]*\]", r"\1", pattern)
+
+
+def test_every_rule_is_reached_by_its_statement_alone(spark):
+    rules = licenses.signatures()
+    texts = ["about\n" + _statement(pattern).upper().replace(" ", between) + "\nhere" for _, _, _, pattern in rules for between in ("\n", "-")]
+    got = _found(spark, texts)
+    for i, t in enumerate(texts):
+        assert (got[i]["method_labels"], got[i]["n_detections"]) == _brute_labels(t), t
+        assert got[i]["n_detections"] > 0, t
+    assert got[2 * [r[0] for r in rules].index("all-rights-reserved")]["method_labels"] == ["all-rights-reserved"]
