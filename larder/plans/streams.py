@@ -31,23 +31,20 @@ STREAM_SQL = f"""WITH daily AS (SELECT DISTINCT '{fixed.INGREDIENT_REQUEST_PREFI
 
 @query("stm01_answer_stream", STREAM_SQL)
 def _(t: Tables):
-    """Events, as four files in order of time, as a request stream for the part they name; a request is answered once a day."""
+    """Events, as four slices in order of time, as a request stream for the part they name; a request is answered once a day."""
     items = save_table(v.items(t), fresh_path(t.spark, "items"))
     index = save_table(recommend.build_index(items, keep=[]), fresh_path(t.spark, "index"))
     folder = fresh_path(t.spark, "event-files")
     low, high = t.events.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
     part_of = F.floor((F.unix_timestamp("ts") - (low or 0)) * 4 / ((high or 0) - (low or 0) + 1))
-    for n in range(4):  # one after the other, so that the stream meets them in order
-        t.events.where(part_of == n).write.mode("append").parquet(folder)
-    stream = rq.request_stream(t.spark, folder, EVENT_SCHEMA, max_files=1)
     named = t.part.select(F.col("p_partkey").alias("k"), F.array("p_name").alias("names"))
-    asked = stream.withColumn("k", F.from_json("props", "k long")["k"]).join(named, "k")
-    asked = asked.select(F.col("event_id").alias("query_id"), "ts", tx.ingredient_request("names").alias("text"))
-    out = fresh_path(t.spark, "answers")
-    answered = rq.answer_stream(
-        rq.distinct_requests(asked), index, items, out, fresh_path(t.spark, "stream-state"), available_now=True
-    )
-    answered.awaitTermination()
+    out, state = fresh_path(t.spark, "answers"), fresh_path(t.spark, "stream-state")
+    for n in range(4):  # a slice is one batch, however many files it has, and the next one goes on from its state
+        t.events.where(part_of == n).write.mode("append").parquet(folder)
+        stream = rq.request_stream(t.spark, folder, EVENT_SCHEMA)
+        asked = stream.withColumn("k", F.from_json("props", "k long")["k"]).join(named, "k")
+        asked = asked.select(F.col("event_id").alias("query_id"), "ts", tx.ingredient_request("names").alias("text"))
+        rq.answer_stream(rq.distinct_requests(asked), index, items, out, state, available_now=True).awaitTermination()
     ids = F.array_join(F.transform("retrieved", lambda i: i["item_id"].cast("string")), ",")
     return rq.read_answers(t.spark, out).select(
         "original_query", "status", "max_similarity", ids.alias("retrieved"), "translated_query"

@@ -24,10 +24,10 @@ def request_stream(spark: SparkSession, folder: str, schema: str, pattern: str |
 def distinct_requests(stream: DataFrame, event_time: str = "ts", text: str = "text", window: str = DEFAULT_WINDOW, delay: str = DEFAULT_DELAY) -> DataFrame:
     """A text is kept once in each event-time window, however the stream is cut into batches.
 
-    Event time is the start of the window. Windows that began ``delay`` or more before the latest one leave the state, and
-    requests that still come for them are late and dropped.
+    A window leaves the state, and requests that still come for it are late and dropped, only once an earlier batch held
+    a window that began ``delay`` or more after its end: a request is never dropped for being up to ``delay`` late.
     """
-    windowed = stream.withColumn("window_start", F.window(event_time, window)["start"]).withWatermark("window_start", delay)
+    windowed = stream.withColumn("window_start", F.window(event_time, window)["start"]).withWatermark("window_start", f"{window} {delay}")
     return windowed.dropDuplicates([text, "window_start"])
 
 

@@ -1,14 +1,18 @@
 """Streams of requests give the rows of the batch form."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import TESTDATA
 from larder.operators import answers
 from larder.operators.answers import AnswerSettings
+from larder.plans.catalog import QUERIES, SQL
 from larder.streaming import requests as rq
 from test_answers import corpus, index, toy  # noqa: F401
+from test_queries import canonical
 
 SCHEMA = "query_id long, ts timestamp, text string"
 SETTINGS = AnswerSettings(translate=False)
@@ -70,3 +74,31 @@ def test_one_batch_and_many_give_equal_rows(spark, folder, index, corpus):  # no
 def test_stream_reads_only_matching_files(spark, folder, index, corpus, available):  # noqa: F811
     drop(spark, folder, "in1", [(0, 0, "gin")])
     assert drain(spark, folder, index, corpus, "part-*.parquet").count() == 1
+
+
+def test_requests_up_to_the_delay_late_are_answered(spark, folder, index, corpus):  # noqa: F811
+    rows = [(0, 1441, "gin"), (1, 1439, "rum"), (2, 10, "gin"), (3, 1445, "gin"), (4, 1438, "rum"), (5, 1499, "gin martini")]  # the next day begins at 1440
+    for i, row in enumerate(rows):
+        drop(spark, folder, f"in{i}", [row])
+    found = sorted(r.original_query for r in drain(spark, folder, index, corpus).collect())
+    assert found == ["gin", "gin", "gin martini", "rum"]
+
+
+def test_registered_stream_takes_many_shuffled_files(spark, folder):
+    import duckdb
+
+    given = TESTDATA / "sf0.001"
+    for file in given.glob("*.parquet"):
+        if file.stem != "events":
+            Path(folder, file.name).symlink_to(file)
+    spark.read.parquet(f"{given}/events.parquet").repartition(12, "event_id").write.parquet(f"{folder}/events.parquet")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a split for each file
+    try:
+        got = QUERIES["stm01_answer_stream"](spark, folder).toPandas()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    connection = duckdb.connect()
+    for file in given.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    assert canonical(got) == canonical(connection.execute(SQL["stm01_answer_stream"]).df())
