@@ -23,7 +23,7 @@ GRID = 1000  # statistics are kept as whole thousandths
 SUPPORT = 0.75
 STEPS = 4
 TAIL = 0.01  # share of a normal group beyond the distance; the floors below make it far less for clean text
-LEAST_GROUP = 50  # documents; a smaller group is judged with the other small ones of its language
+LEAST_GROUP = 50  # documents; a smaller group is judged with others (see grouped)
 # Least standard deviation of each statistic: what any clean group may vary by.
 FLOORS = {"x1": 0.15, "x2": 0.08, "x3": 0.12, "x4": 0.12}
 X = list(FLOORS)
@@ -95,25 +95,35 @@ def _transformed() -> list[Column]:
 
 
 def vectors(stats: DataFrame) -> DataFrame:
-    """(group, x1..x4, n): the distinct vectors of documents that passed the base rules, with counts.
-
-    A group is (lang, source, pooled); groups under LEAST_GROUP documents are pooled by language, and
-    a pool under LEAST_GROUP is left out, so its documents are not judged. Null is a language and a source of its own.
-    """
+    """(lang, source, x1..x4, n): the distinct vectors of documents that passed the base rules, with counts. Null is a language and a source of its own."""
     return stats.where(~F.col("base_failed")).groupBy("lang", "source", *_transformed()).agg(F.count(F.lit(1)).alias("n"))
 
 
 def grouped(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The vectors by the group that judges them, and the table (lang, source) -> group."""
-    sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("_size"))
+    """The vectors by the group that judges them, and the table (lang, source) -> group.
+
+    A source under LEAST_GROUP documents is judged with the other small ones of its language; if these are too few together, by
+    its whole language, and a language under LEAST_GROUP by all documents. So every vector has a group, and a whole
+    language or all documents also hold the vectors of the sources that are judged by themselves.
+    """
+    sizes = stored(counts.groupBy("lang", "source").agg(F.sum("n").alias("_size")), "mcd-sizes")
     small = F.col("_size") < LEAST_GROUP
-    groups = stored(sizes.select("lang", "source", F.when(small, F.struct(F.col("lang").alias("l"), F.lit(None).cast("string").alias("s"), F.lit(True).alias("pooled"))).otherwise(F.struct(F.col("lang").alias("l"), F.col("source").alias("s"), F.lit(False).alias("pooled"))).alias("group"), "_size"), "mcd-groups")
-    large = groups.groupBy("group").agg(F.sum("_size").alias("_all")).where(F.col("_all") >= LEAST_GROUP).select(F.xxhash64("group").alias("g"), "group")
-    named = groups.join(large.withColumnRenamed("group", "_g"), F.col("group").eqNullSafe(F.col("_g"))).select("lang", "source", "g")
-    named = stored(named, "mcd-named")
-    other = named.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "g")
-    merged = counts.join(other, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))).groupBy("g", *X).agg(F.sum("n").alias("n"))
-    return merged, named
+    languages = stored(sizes.groupBy(F.col("lang").alias("_l")).agg(F.coalesce(F.sum(F.when(small, F.col("_size"))), F.lit(0)).alias("_pool"), F.sum("_size").alias("_all")), "mcd-languages")
+    few_pooled, few = (F.col("_pool") > 0) & (F.col("_pool") < LEAST_GROUP), F.col("_all") < LEAST_GROUP
+    any_few = bool(languages.where(few).limit(1).count())
+
+    def key(level: int, *of: str) -> Column:
+        return F.xxhash64(F.lit(level), *[x for c in of for x in (F.isnull(c), c)])
+
+    whole, everything = key(2, "lang"), key(3)
+    own = F.when(few, everything).when(~small, key(0, "lang", "source")).when(few_pooled, whole).otherwise(key(1, "lang"))
+    also = F.array_compact(F.array(own, F.when(few_pooled & ~few, whole), F.when(F.lit(any_few), everything)))
+    placed = sizes.join(languages, F.col("lang").eqNullSafe(F.col("_l"))).select("lang", "source", own.alias("g"), F.array_distinct(also).alias("_in"))
+    placed = stored(placed, "mcd-named")
+    member = placed.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "_in")
+    joined = counts.join(member, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")))
+    merged = joined.select(F.explode("_in").alias("g"), *X, "n").groupBy("g", *X).agg(F.sum("n").alias("n"))
+    return merged, placed.select("lang", "source", "g")
 
 
 def _quantile_bin(binned: DataFrame, share: float, bin_: str) -> DataFrame:
@@ -168,7 +178,7 @@ def fit(counts: DataFrame) -> DataFrame:
 
 
 def judged(stats: DataFrame) -> DataFrame:
-    """The rows of a stored statistics table with ``d2`` (null: not judged) and ``kept``."""
+    """The rows of a stored statistics table with ``d2`` (null only where the base rules failed) and ``kept``."""
     counts, named = grouped(stored(vectors(stats), "mcd-vectors"))
     counts = stored(counts, "mcd-counts")
     estimates = fit(counts)

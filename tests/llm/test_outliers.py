@@ -63,3 +63,20 @@ def test_edges(spark):
 def test_chi_square():
     assert abs(outliers.chi_square_quantile(0.975) - 11.1433) < 1e-3
     assert abs(outliers.chi_square_quantile(0.5) - 3.3567) < 1e-3
+
+
+def test_small_groups_are_judged_by_wider_ones(spark):
+    r = random.Random(3)
+
+    def row(i, lang, source, junk=""):
+        return (i, _text(r, r.choice([40, 300]), junk), lang, source)
+
+    rows = [row(i, "en", f"s{i % 2}") for i in range(200)]
+    rows += [row(200 + i, "en", "lone", "###$$$%%%" if i % 2 else "") for i in range(40)]  # one small source of its language
+    rows += [row(300 + i, None, "few", "###$$$%%%" if i % 2 else "") for i in range(6)]  # a small language
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {x["doc_id"]: x for x in outliers.judge(docs).collect()}
+    assert all(x["base_failed"] or x["d2"] is not None for x in got.values())
+    assert [i for i in got if not got[i]["kept"]] and {i for i in got if not got[i]["kept"]} == {i for i in got if i >= 200 and i % 2}
+    table = spark.createDataFrame(rows[:20] + [x for x in rows if x[0] == 301], docs.schema)  # a table under LEAST_GROUP is judged too
+    assert [x["doc_id"] for x in outliers.judge(table).collect() if not x["kept"]] == [301]
