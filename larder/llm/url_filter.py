@@ -1,11 +1,13 @@
 """URL filters: stated rules, and gradient-boosted trees on lexical features for what no rule decides.
 
-Urls that a rule decides are the labelled ones. A bounded sample of them fits the trees and the suffix
-statistics; every url is then scored. All features are built-in expressions of the url's text.
+Urls that a rule decides are the labelled ones. All of them make the suffix statistics, and a bounded sample of
+their distinct urls fits the trees; every url is then scored. All features are built-in expressions of the url's text.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +16,10 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import filled, lower_ascii, stored, total
 
-FIT_ROWS = 20_000  # labelled urls the trees are fitted on, the ones with the smallest hash of the url
+FIT_ROWS = 20_000  # distinct labelled urls the trees are fitted on, of each verdict the ones with the smallest hash
+LEAST_ROWS = 100  # urls of the rarer verdict among them, if there are as many
+BROADCAST_SUFFIXES = 100_000  # rows of a suffix table: some ten MB; a larger one is shuffled
+PER = 1_000_000  # labelled rows that suffix counts are stated for, so that they mean the same at every size
 TREES, DEPTH = 12, 4
 PRIOR = 5.0  # urls that a suffix's block share starts with, at the share of all
 SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789-_.~/?=&%:#+"
@@ -73,25 +78,37 @@ def with_features(urls: DataFrame) -> DataFrame:
 
 def _with_suffixes(rows: DataFrame, tables: dict[str, DataFrame], prior: float) -> DataFrame:
     """Joins the block share and log count of each suffix; an unseen one has the share of all."""
-    for key, table in tables.items():  # at most FIT_ROWS rows each, by construction
-        rows = rows.join(F.broadcast(table), key, "left").fillna({f"{key}_share": prior, f"{key}_count": 0.0})
+    for key, table in tables.items():
+        table = F.broadcast(table) if table.count() <= BROADCAST_SUFFIXES else table
+        rows = rows.join(table, key, "left").fillna({f"{key}_share": prior, f"{key}_count": 0.0})
     return rows
 
 
+def _sample(known: DataFrame, urls: dict[float, int], fit_rows: int) -> DataFrame:
+    """Distinct urls of each label by the smallest hash, in proportion to the (approximate) numbers of distinct ``urls``."""
+    hashed = F.pmod(F.xxhash64("url"), F.lit(1 << 40))
+    picked = []
+    for label, n in sorted(urls.items()):
+        wanted = max(math.ceil(fit_rows * n / sum(urls.values())), min(LEAST_ROWS, fit_rows // 2))
+        share = min(1.0, 4.0 * wanted / n)  # only about four times as many as wanted are ranked, whatever the number of rows and tasks
+        near = known.where((F.col("label") == label) & (hashed < int(share * (1 << 40))))
+        picked.append(near.select("url", "label", *LEXICAL, "tld", "domain", "section").dropDuplicates(["url"]).orderBy(hashed, "url").limit(wanted))
+    return stored(picked[0].unionByName(picked[1]), "url-sample")
+
+
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[GBTClassificationModel, dict[str, DataFrame], float] | None:
     """Trees and suffix tables from rows with features and ``verdict``; None if only one verdict is known."""
-    known = labelled.where(F.col("verdict").isNotNull())
-    share = min(1.0, 4.0 * fit_rows / max(known.count(), 1))  # only about four times as many as wanted are ranked, whatever the number of rows and tasks
-    near = known.where(F.pmod(F.xxhash64("url"), F.lit(1 << 40)) < int(share * (1 << 40)))
-    sample = stored(near.withColumn("label", (F.col("verdict") == "block").cast("double")).orderBy(F.pmod(F.xxhash64("url"), F.lit(1 << 40)), "url").limit(fit_rows), "url-sample")
-    n, blocked = sample.agg(F.count(F.lit(1)), F.sum("label")).first()
-    if not n or not 0 < blocked < n:
+    known = labelled.where(F.col("verdict").isNotNull()).withColumn("label", (F.col("verdict") == "block").cast("double"))
+    verdicts = {x["label"]: x for x in known.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("url").alias("urls")).collect()}
+    if len(verdicts) < 2:
         return None
-    prior = blocked / n
+    n = sum(x["n"] for x in verdicts.values())
+    prior = verdicts[1.0]["n"] / n
+    sample = _sample(known, {label: max(x["urls"], 1) for label, x in verdicts.items()}, fit_rows)
     tables = {}
     for key in ("tld", "domain", "section"):
-        counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum("label").alias("_b"))
-        tables[key] = stored(counts.select(key, ((F.col("_b") + PRIOR * prior) / (F.col("_n") + PRIOR)).alias(f"{key}_share"), F.log1p("_n").alias(f"{key}_count")), "url-suffixes")
+        counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum("label").alias("_b"))
+        tables[key] = stored(counts.select(key, ((F.col("_b") + PRIOR * prior) / (F.col("_n") + PRIOR)).alias(f"{key}_share"), F.log1p(F.col("_n") * (PER / n)).alias(f"{key}_count")), "url-suffixes")
     ready = VectorAssembler(inputCols=LEXICAL + SUFFIX, outputCol="features").transform(_with_suffixes(sample, tables, prior)).select("features", "label")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, stepSize=0.3).fit(ready)
     return model, tables, prior

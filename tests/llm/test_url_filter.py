@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -61,3 +62,24 @@ def test_edges_and_plan(spark):
     assert sorted((x["verdict"], x["score"]) for x in url_filter.filter_urls(one, URL_RULES).collect()) == [("allow", None)] * 2
     plan = plan_of(url_filter.with_features(spark.createDataFrame([(1, "u", "h", "p")], "page_id long, url string, host string, path string")))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_statistics_are_of_all_labelled_urls_and_a_hot_url_hides_none(spark):
+    seen = spark.createDataFrame([(f"http://d{i}.com/s{i}/x",) for i in range(300)], "url string")
+    hot = seen.orderBy(F.pmod(F.xxhash64("url"), F.lit(1 << 40))).first()["url"]  # the first in the order of the hash
+    urls = [hot] * 900 + [f"http://d{i % 150}.com/s{i}/abc" for i in range(300)] + [f"http://e{i % 100}.net/es/{i}{i}?a=1" for i in range(300)] + [f"http://f{i}.org/q" for i in range(20)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [("allow", "com/"), ("block", "net/es/")]
+    assert all(x["score"] is not None for x in url_filter.filter_urls(pages, rules, fit_rows=60).collect())
+    host, path = url_filter.parts(F.col("url"))
+    rule, verdict = url_filter.matched_rule(rules, F.col("host"), F.col("path"))
+    rows = url_filter.with_features(pages.withColumn("host", host).withColumn("path", path).withColumn("verdict", verdict))
+    _, tables, prior = url_filter.fit(rows, fit_rows=60)
+    got = {x["domain"]: (x["domain_share"], x["domain_count"]) for x in tables["domain"].collect()}
+    labelled, domains = urls[:1500], [u.split("/")[2] for u in urls[:1500]]
+    assert set(got) == set(domains) and prior == 300 / 1500
+    for domain, (share, count) in got.items():
+        n = domains.count(domain)
+        blocked = n if domain.endswith(".net") else 0
+        assert abs(share - (blocked + url_filter.PRIOR * prior) / (n + url_filter.PRIOR)) < 1e-9
+        assert abs(count - math.log1p(n * url_filter.PER / len(labelled))) < 1e-9
