@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larder.llm import decontamination, extraction, interpolation, language_id, licenses, mixing, near_duplicates, outliers, token_files, url_filter
+from larder.llm import alignment, decontamination, extraction, interpolation, language_id, licenses, mixing, near_duplicates, outliers, packing, token_files, url_filter
 from larder.llm.common import LETTERS_AND_DIGITS, LOWER, UPPER, WORD, id_bucket, stored, words
 from larder.session import ship_package
 
@@ -142,6 +142,18 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("op11_pack_sequences")
+def pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens, and what is read back from the sequences."""
+    return packing.read_pieces(packing.pack(table(spark, folder, "documents")))
+
+
+@query("op12_align_tokenizers")
+def align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in every document, with their counts over the corpus."""
+    return alignment.align_documents(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline over all documents."""
