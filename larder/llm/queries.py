@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larder.llm import alignment, decontamination, extraction, interpolation, language_id, licenses, mixing, near_duplicates, outliers, packing, token_files, url_filter
+from larder.llm import alignment, decontamination, extraction, hard_negatives, interpolation, language_id, licenses, mixing, near_duplicates, outliers, packing, token_files, url_filter
 from larder.llm.common import LETTERS_AND_DIGITS, LOWER, UPPER, WORD, id_bucket, stored, words
 from larder.session import ship_package
 
@@ -154,6 +154,20 @@ def align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_documents(table(spark, folder, "documents"))
 
 
+NEGATIVES_SQL = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS s FROM v a JOIN v b ON a.vec_id % 100 = 0),
+positive AS (SELECT anchor_id, vec_id AS positive_id, s AS ps FROM scored WHERE same AND vec_id <> anchor_id QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, ps AS positive_score, s AS negative_score
+FROM positive JOIN scored USING (anchor_id) WHERE NOT same AND 80 * ps <= 100 * s AND s <= ps QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id) <= 5"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def mine_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows of other labels in the score window of each anchor and positive."""
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline over all documents."""
