@@ -13,6 +13,8 @@ Only (key, length) takes part in the rounds; ids are moved when the sequences ar
 from __future__ import annotations
 
 import math
+import operator
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +31,7 @@ GROUP_PIECES = 100_000  # pieces packed by one task in the first round
 LARGEST_GROUP = 8  # times that number in later rounds
 ROUNDS = 6
 FUNCTIONS = 64  # members of the second family that are tried
-CACHED_WORDS = 1_500_000  # distinct words a worker keeps; beyond it the cache starts again
+CACHED_WORDS = 600_000  # distinct words, and runs, that a worker keeps; beyond it the cache starts again
 
 
 # --- ids ------------------------------------------------------------------------------------------
@@ -38,17 +40,26 @@ CACHED_WORDS = 1_500_000  # distinct words a worker keeps; beyond it the cache s
 class WordEncoder:
     """Ids of texts by the tokenizers library for a vocabulary whose words end at white space.
 
-    White space is dropped and no token spans it, so a text's ids are those of its blank-separated words. Each distinct
-    word is encoded once. A text that holds a special token's string is encoded whole, as such a token may hold blanks.
+    White space is dropped and no token spans it, so a text's ids are those of its words, each distinct one encoded once. Most words
+    are letters, with or without other signs behind them; these are two runs for the library's own splitter too, and letters that are lower-cased and
+    composed already skip its normaliser. All other words go through the library as they are, and so does a whole text that
+    holds a special token's string, as such a token may hold blanks.
     """
 
+    # Letters up to U+024F have no combining marks and lower-case one by one; an apostrophe may begin a run of its own.
+    PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+
     def __init__(self, path: str, width: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = f"<u{width}"
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.kind, self.width = f"<u{width}", width
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
+        self.known: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {"": b""}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -56,13 +67,46 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, each of ``width`` bytes."""
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        words = [[] if any(s in t for s in self.special) else t.split(" ") for t in texts]
-        new = list(dict.fromkeys(w for some in words for w in some if w not in known))
-        for i in range(0, len(new), 5000):
-            known.update(zip(new[i : i + 5000], self._bytes(new[i : i + 5000])))
-        return [b"".join([known[w] for w in some]) if some else self._bytes([t])[0] for t, some in zip(texts, words)]
+            self.known = {"": b""}
+        if len(self.runs) > CACHED_WORDS:
+            self.runs = {"": b""}
+        words = [None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ") for t in texts]
+        self._learn(list(set().union(*[w for w in words if w is not None]).difference(self.known)))
+        find = self.known.__getitem__
+        return [self._bytes([t])[0] if some is None else b"".join(map(find, some)) for t, some in zip(texts, words)]
+
+    def _learn(self, new: list[str]) -> None:
+        cut, letters, signs, rest = [], [], [], []  # flat lists: a tuple for each word would keep the collector busy
+        for w in new:
+            s = w.lower()
+            m = self.PLAIN.fullmatch(s)
+            if m is None or len(s) != len(w):
+                rest.append(w)
+                continue
+            end = m.end(1)
+            cut.append(w)
+            letters.append(s[:end])
+            signs.append(s[end:])
+        self._learn_runs(list(set(letters).union(signs).difference(self.runs)))
+        find = self.runs.__getitem__
+        self.known.update(zip(cut, map(operator.add, map(find, letters), map(find, signs))))
+        for i in range(0, len(rest), 5000):
+            self.known.update(zip(rest[i : i + 5000], self._bytes(rest[i : i + 5000])))
+
+    def _learn_runs(self, new: list[str]) -> None:
+        """Many runs in one call, dealt back to them by the tokens that end a word; if these are not one for each run, by a call for each."""
+        for i in range(0, len(new), 4000):
+            some = new[i : i + 4000]
+            joined = [" ".join(some[k : k + 200]) for k in range(0, len(some), 200)]
+            ids = np.array([x for e in self.plain.encode_batch_fast(joined, add_special_tokens=False) for x in e.ids], dtype=self.kind)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some):
+                self.runs.update(zip(some, self._bytes(some)))
+                continue
+            raw, begin = ids.tobytes(), 0
+            for r, end in zip(some, (ends * self.width).tolist()):
+                self.runs[r] = raw[begin:end]
+                begin = end
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -102,8 +146,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, width: int, capacity
         key = TaskContext.get().partitionId() << 36
         step = capacity * width
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                some = batch.slice(i, 200)
+            for i in range(0, batch.num_rows, 500):
+                some = batch.slice(i, 500)
                 rows: list[tuple] = []
                 for doc_id, raw in zip(some.column("doc_id").to_pylist(), encoder.encode(some.column("text").to_pylist())):
                     raw += end

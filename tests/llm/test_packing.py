@@ -44,7 +44,7 @@ def check(spark, rows, tokenizer, capacity, **how):
     return len(by_sequence), [w[3] for w in want]
 
 
-ODD = ["", None, "a", "Don't STOP  now\n\n x", "naïve café ÉCOLE", "x <|endoftext|> y", "<|startoftext|>", "日本語 テキスト", "\x00 \x1c\x85 a", "  lead and trail  ", "éa ́b", "'s 't 123 4-5"]
+ODD = ["", None, "a", "Don't STOP  now\n\n x", "naïve café ÉCOLE", "x <|endoftext|> y", "<|startoftext|>", "日本語 テキスト", "\x00 \x1c\x85 a", "  lead and trail  ", "éa ́b", "'s 't 123 4-5", "ΣΑΣ Σ İstanbul Ǆ ǅ ŉ", "word.' word's. A.B! x≠y a<\u0338b !\u0338 e\u0301! ß." , "ÀÉ###,, ###x :-) (a) @b [c] {d}~"]
 
 
 def test_odd_texts_have_the_librarys_ids(spark, tokenizer):
