@@ -31,7 +31,7 @@ GROUP_PIECES = 100_000  # pieces packed by one task in the first round
 LARGEST_GROUP = 8  # times that number in later rounds
 ROUNDS = 6
 FUNCTIONS = 64  # members of the second family that are tried
-CACHED_WORDS = 600_000  # distinct words, and runs, that a worker keeps; beyond it the cache starts again
+CACHED_WORDS = 400_000  # distinct words, and runs, that a worker keeps; beyond it the cache starts again
 
 
 # --- ids ------------------------------------------------------------------------------------------
@@ -301,9 +301,10 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
     gathered = pieces.join(planned, "key").groupBy("sequence_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))  # capacity entries at most
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        _ENCODERS.clear()  # a worker that has encoded before needs its words no longer
+        for batch in (b.slice(i, 200) for b in batches for i in range(0, b.num_rows, 200)):
             lists = batch.column("entries")
-            entries, cuts = lists.flatten(), lists.offsets.to_numpy()
+            entries, cuts = lists.flatten(), lists.offsets.to_numpy()  # both of this slice alone
             cuts = cuts - cuts[0]
             raw = entries.field("ids").to_pylist()
             ids = [np.frombuffer(b"".join(raw[a:b]), f"<u{width}").astype("<u4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
