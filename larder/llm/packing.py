@@ -296,9 +296,11 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
     """
     width = id_width(tokenizer, end_id)
     pieces = pieces_of(docs, tokenizer, end_id, width, capacity)
-    planned = plan(pieces, capacity, group_pieces)
-    entry = F.struct("offset", "doc_id", "piece", "start", "length", "ids")
-    gathered = pieces.join(planned, "key").groupBy("sequence_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))  # capacity entries at most
+    entry = F.struct(F.col("offset").cast("long").alias("offset"), "doc_id", "piece", "start", "length", "ids")
+    loose = pieces.where(F.col("length") < capacity)
+    gathered = loose.join(plan(loose, capacity, group_pieces), "key").groupBy("sequence_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))  # capacity entries at most
+    whole = pieces.where(F.col("length") == capacity).withColumn("offset", F.lit(0)).select((-1 - F.col("key")).alias("sequence_id"), F.array(entry).alias("entries"))
+    gathered = gathered.unionByName(whole)  # a piece that fills a sequence is one where it lies
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _ENCODERS.clear()  # a worker that has encoded before needs its words no longer
