@@ -4,13 +4,13 @@ Scores are matrix products of Arrow blocks inside ``mapInArrow`` tasks; a task
 keeps only the best ``k`` items per request (or the pairs above a threshold), so
 no request-item pair is ever materialised as a row.
 
-Two exact physical forms, chosen by a measured bound on the request side:
+Exact physical forms, chosen by a measured bound on the request side:
 
 * at most ``MAX_BROADCAST_ROWS`` rows and ``MAX_BROADCAST_BYTES`` bytes: requests
   are broadcast and the items are scored where they lie, without a shuffle;
-* otherwise both sides are cut into hashed blocks of bounded size and every
-  block meets every other one in a cogroup, so no task, broadcast or driver
-  holds more than one block of either side.
+* otherwise dense vectors meet in the Voronoi cells that their bounds allow
+  (``operators/cells.py``), and sparse ones in a cogroup of hashed blocks. No task,
+  broadcast or driver holds more than one block of either side.
 
 Scores are compared and returned at ``SCORE_DIGITS`` digits. Equal items then tie
 exactly, whatever the summation order of the matrix product, and ties go to the
@@ -27,8 +27,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from larder import fixed
+from larder.session import fresh_path
 
 SCORE_DIGITS = 8
 MAX_BROADCAST_ROWS = 20_000
@@ -268,6 +270,35 @@ def _matches(query_ids, item_ids, scores) -> pa.Table:
 BlockKernel = Callable[[pa.Table, Iterator], Iterator[pa.Table]]
 
 
+def broadcast_table(requests: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> pa.Table | None:
+    """The request table if it is within the bounds of a broadcast."""
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    max_rows = min(max_rows, _rows_within(requests, max_bytes))
+    head = requests.limit(max_rows + 1).toArrow()
+    return head if not head.num_rows or (head.num_rows <= max_rows and head.nbytes <= max_bytes) else None
+
+
+def scan_items(head: pa.Table, items: DataFrame, kernel: BlockKernel, schema: str) -> DataFrame:
+    """``kernel(requests, item batches)`` where the items lie."""
+    if not head.num_rows:  # nothing asked: the items need not be read
+        return items.sparkSession.createDataFrame([], schema)
+    shared = items.sparkSession.sparkContext.broadcast(head)
+
+    def scan(batches):
+        for table in kernel(shared.value, batches):
+            yield from table.to_batches()
+
+    return items.mapInArrow(scan, schema)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder: what made them does not run again where they are counted and joined."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def block_join(
     requests: DataFrame,
     items: DataFrame,
@@ -278,27 +309,12 @@ def block_join(
     item_id: str,
     max_rows: int | None = None,
     max_bytes: int | None = None,
-) -> tuple[DataFrame, int | None]:
-    """Run ``kernel(request block, item batches)`` over every pair of blocks.
-
-    Returns the partial results and the number of requests that were broadcast,
-    or None where they were too many.
-    """
-    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    max_rows = min(max_rows, _rows_within(requests, max_bytes))
-    head = requests.limit(max_rows + 1).toArrow()
-    if not head.num_rows:  # nothing asked: the items need not be read
-        return requests.sparkSession.createDataFrame([], schema), 0
-    if head.num_rows <= max_rows and head.nbytes <= max_bytes:
-        shared = requests.sparkSession.sparkContext.broadcast(head)
-
-        def scan(batches):
-            for table in kernel(shared.value, batches):
-                yield from table.to_batches()
-
-        return items.mapInArrow(scan, schema), head.num_rows
-
+) -> DataFrame:
+    """Run ``kernel(request block, item batches)`` over every pair of blocks: requests are broadcast, or both sides cut by hash."""
+    head = broadcast_table(requests, max_rows, max_bytes)
+    if head is not None:
+        return scan_items(head, items, kernel, schema)
+    requests = written(requests, "requests")
     request_blocks = max(1, -(-requests.count() // BLOCK_REQUESTS))
     item_blocks = max(1, -(-items.count() // BLOCK_ITEMS))
 
@@ -321,7 +337,7 @@ def block_join(
         return pa.concat_tables(tables) if tables else empty
 
     keys = ["_query_block", "_item_block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema), None
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)
 
 
 PROBE_ROWS = 256
@@ -397,19 +413,25 @@ def top_k(
 
         return run
 
-    sides = dict(query_id=scoring.query_id, item_id=scoring.item_id, max_rows=max_rows, max_bytes=max_bytes)
-    floor: dict[int, float] = {}
-    if pilot:
-        found, asked = block_join(left, right, kernel(floor, pilot), MATCH_SCHEMA, **sides)
-        if asked is not None:  # one number per broadcast request
-            last = rank_matches(found, k).where(F.col("rank") == k).select("query_id", "score")
+    head = broadcast_table(left, max_rows, max_bytes)
+    if head is not None:
+        floor: dict[int, float] = {}
+        if pilot:  # one number per broadcast request
+            last = rank_matches(scan_items(head, right, kernel(floor, pilot), MATCH_SCHEMA), k).where(F.col("rank") == k).select("query_id", "score")
             floor = {r.query_id: r.score for r in last.collect()}
-    partial, asked = block_join(left, right, kernel(floor, 1), MATCH_SCHEMA, **sides)
+        partial = scan_items(head, right, kernel(floor, 1), MATCH_SCHEMA)
+    elif scoring.mask or any(isinstance(df.schema[c].dataType, StructType) for df, c in ((left, scoring.query_vector), (right, scoring.item_vector))):
+        # Masked items match with a score of their own, and sparse vectors have no pivots: all blocks meet.
+        partial = block_join(left, right, kernel({}, 1), MATCH_SCHEMA, query_id=scoring.query_id, item_id=scoring.item_id, max_rows=0)
+    else:
+        from larder.operators.cells import nearest_in_cells  # it is built on this module
+
+        partial, _, _ = nearest_in_cells(written(left, "requests"), right, k, scoring)
     ranked = rank_matches(partial, k)
     if attach is None:
         return ranked
     # At most k rows per counted request; beyond the bound the planner decides.
-    small = asked is not None and asked * k <= MAX_BROADCAST_MATCHES
+    small = head is not None and head.num_rows * k <= MAX_BROADCAST_MATCHES
     return (F.broadcast(ranked) if small else ranked).join(attach, "item_id")
 
 
@@ -431,31 +453,14 @@ def similar_pairs(
     *,
     id_column: str = "item_id",
     vector: str = "embedding",
-    max_rows: int | None = None,
-    max_bytes: int | None = None,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Pairs of vectors at or above a similarity: ``id_a, id_b, score``.
 
-    Within one set (``right`` omitted) each unordered pair comes once, ``id_a < id_b``.
+    Within one set (``right`` omitted) each unordered pair comes once, ``id_a < id_b``. A null vector, or one with a component that is
+    null or not finite, is in no pair. Rows meet only in cells whose bound allows the similarity.
     """
-    once = right is None
-    right = left if once else right
-    scoring = Scoring(query_id=id_column, item_id=id_column, query_vector=vector, item_vector=vector)
-
-    def kernel(block: pa.Table, batches) -> Iterator[pa.Table]:
-        requests = Requests(block, scoring)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for rows, ids, scores in requests.tiles(batch):
-                keep = scores >= min_similarity
-                if once:
-                    keep &= requests.ids[rows, None] < ids[None, :]
-                r, i = np.nonzero(keep)
-                yield _matches(requests.ids[rows[r]], ids[i], scores[r, i])
-
-    pairs, _ = block_join(
-        _side(left, [id_column, vector]), _side(right, [id_column, vector]), kernel, MATCH_SCHEMA,
-        query_id=id_column, item_id=id_column, max_rows=max_rows, max_bytes=max_bytes,
-    )
+    from larder.operators.cells import CELL_ROWS, pairs_in_cells  # it is built on this module
+
+    pairs = pairs_in_cells(left, right, min_similarity, id_column, vector, cell_rows or CELL_ROWS)
     return pairs.select(F.col("query_id").alias("id_a"), F.col("item_id").alias("id_b"), "score")

@@ -115,21 +115,19 @@ def test_coverage_and_required(spark, form):
     assert masked[:3] == [(0, 1, 0.75, 1), (0, 0, -1.0, 2), (0, 2, -1.0, 3)]
 
 
-@pytest.mark.parametrize("form", FORMS)
-def test_pairs_equal_brute_force(spark, form, monkeypatch):
-    monkeypatch.setattr(similarity, "BLOCK_REQUESTS", 16)
-    monkeypatch.setattr(similarity, "BLOCK_ITEMS", 16)
+@pytest.mark.parametrize("cell_rows", [None, 7])
+def test_pairs_equal_brute_force(spark, cell_rows):
     x = unit(50, 4, 10)
-    got = similarity.similar_pairs(vectors(spark, x, "item_id"), min_similarity=0.5, **form).collect()
+    got = similarity.similar_pairs(vectors(spark, x, "item_id"), min_similarity=0.5, cell_rows=cell_rows).collect()
     scores = x.astype(np.float64) @ x.astype(np.float64).T
     assert {(r.id_a, r.id_b) for r in got} == {(a, b) for a in range(50) for b in range(a + 1, 50) if scores[a, b] >= 0.5}
     assert len(got) == len({(r.id_a, r.id_b) for r in got})
 
 
-@pytest.mark.parametrize("form", FORMS)
-def test_pairs_of_two_sets(spark, form):
+@pytest.mark.parametrize("cell_rows", [None, 4])
+def test_pairs_of_two_sets(spark, cell_rows):
     a, b = unit(10, 4, 31), unit(15, 4, 32)
-    got = similarity.similar_pairs(vectors(spark, a, "item_id"), vectors(spark, b, "item_id"), -1.0, **form)
+    got = similarity.similar_pairs(vectors(spark, a, "item_id"), vectors(spark, b, "item_id"), -1.0, cell_rows=cell_rows)
     assert got.count() == 150  # a threshold at the lower end gives the whole matrix
     scores = a.astype(np.float64) @ b.astype(np.float64).T
     assert all(r.score == pytest.approx(scores[r.id_a, r.id_b], abs=1e-7) for r in got.collect())
