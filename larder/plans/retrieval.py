@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from larder import fixed
 from larder.functions import text as tx
@@ -194,11 +194,23 @@ def _(t: Tables):
 
 @query("ret04_approximate_top_k")
 def _(t: Tables):
-    """Approximate top-k over a cell index, and its recall against the exact result."""
-    items, asked = v.vector_items(t), v.vector_requests(t)
-    centres = approximate.fit_cells(items, 16)
-    found = approximate.probe_top_k(asked, approximate.build_cell_index(items, centres), centres, 5, 6, SELF)
-    return approximate.recall_against(similarity.top_k(asked, items, 5, SELF), found)
+    """Approximate top-k over a quantised index, and its recall against the exact result."""
+    exact = similarity.top_k(v.vector_requests(t), v.vector_items(t), 5, SELF)
+    return approximate.recall_against(exact, _quantised(t, approximate.fit_cells(v.vector_items(t), 32), 22))
+
+
+def _quantised(t: Tables, centres, probes: int) -> DataFrame:
+    """The five best by codes stored by cell, scored from the vectors of the candidates."""
+    items, path = v.vector_items(t), fresh_path(t.spark, "code-index")
+    books = approximate.fit_codebooks(items, centres, parts=32)
+    approximate.build_code_index(items, books).write.partitionBy("cell").parquet(path)
+    return approximate.quantised_top_k(v.vector_requests(t), t.spark.read.parquet(path), items, books, 5, probes, SELF)
+
+
+@query("ret04_approximate_matches")
+def _(t: Tables):
+    """The matches of the approximate top-k."""
+    return _quantised(t, approximate.fit_cells(v.vector_items(t), 32), 22).select("query_id", "item_id", "score", "rank")
 
 
 PROBED_SQL = f"""WITH {VECTOR_SCORES},
@@ -211,18 +223,28 @@ PROBED_SQL = f"""WITH {VECTOR_SCORES},
     SELECT query_id, item_id, score, rank FROM top"""
 
 
+def _label_centres(t: Tables):
+    """The mean vectors of the labels as unit centres, one for each label."""
+    dims = v.vector_items(t).select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    means = dims.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("m")).orderBy("label")
+    return approximate.unit_centres([[x["x"] for x in r["m"]] for r in means.collect()])
+
+
 @query("ret04_probed_matches", PROBED_SQL)
 def _(t: Tables):
     """The matches within the two nearest cells of each request; cells are the mean vectors of the labels, the index is stored by cell."""
-    items = v.vector_items(t)
-    dims = items.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    means = dims.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("m")).orderBy("label")
-    centres = approximate.unit_centres([[x["x"] for x in r["m"]] for r in means.collect()])  # one row per label
+    items, centres = v.vector_items(t), _label_centres(t)
     path = fresh_path(t.spark, "cell-index")
     approximate.build_cell_index(items, centres).write.partitionBy("cell").parquet(path)
     return approximate.probe_top_k(v.vector_requests(t), t.spark.read.parquet(path), centres, 5, 2, SELF)
 
 
+@query("ret04_quantised_matches", PROBED_SQL)
+def _(t: Tables):
+    """The same matches from codes: candidates by their bounds, scored from the vectors."""
+    return _quantised(t, _label_centres(t), 2).select("query_id", "item_id", "score", "rank")
+
+
 LEXICAL_SCORES = (
     v.BENCHMARK_REQUESTS + "," + v.tfidf("fit", "SELECT doc_id AS id, text FROM documents") + ","
     + v.tfidf_vectors("asked", "fit_vocab", "SELECT query_id AS id, text FROM requests") + ","

@@ -230,6 +230,30 @@ def test_probing_some_cells_has_bounded_recall(spark):
     assert 0.7 < recall <= 1.0
 
 
+@pytest.mark.parametrize("block_items", [9, 65_536])
+def test_codes_find_all_that_can_be_best(spark, block_items):
+    q, x = unit(12, 10, 16), unit(300, 10, 17)
+    x[::3] = x[0]  # one hot cell, cut into blocks; equal items tie
+    items = vectors(spark, x, "item_id").union(spark.createDataFrame([(900, None)], "item_id long, embedding array<float>"))
+    asked = vectors(spark, q, "query_id").union(spark.createDataFrame([(900, None)], "query_id long, embedding array<float>"))
+    books = approximate.fit_codebooks(items, approximate.fit_cells(items.where("embedding IS NOT NULL"), 4), parts=3, words=16)
+    codes = approximate.build_code_index(items, books)
+    got = approximate.quantised_top_k(asked, codes, items, books, 5, probes=4, block_items=block_items, block_requests=5)
+    assert rows_of(got) == brute(q, x, 5)
+
+
+def test_recall_of_the_quantised_index(spark):
+    rng = np.random.default_rng(19)
+    x = (unit(20, 16, 18)[rng.integers(0, 20, 1500)] + 0.1 * rng.normal(size=(1500, 16))).astype(np.float32)
+    items, asked = vectors(spark, x, "item_id"), vectors(spark, x[:100], "query_id")
+    books = approximate.fit_codebooks(items, approximate.fit_cells(items, 20), parts=8, words=64)
+    codes = approximate.build_code_index(items, books)
+    candidates = approximate.quantised_candidates(asked, codes, books, 5, 4).count()
+    found = approximate.quantised_top_k(asked, codes, items, books, 5, 4)
+    assert approximate.recall_against(similarity.top_k(asked, items, 5), found).first().recall >= 0.9
+    assert candidates < 0.3 * 1500 * 100
+
+
 @pytest.mark.parametrize("form", [{}, {"max_rows": 0}])
 @pytest.mark.parametrize("bad", [1, 2, 5])
 def test_nan_and_null_vectors_lose_no_match(spark, form, bad):
