@@ -5,13 +5,15 @@ both a bin and a value; the smallest value of each bin is the sketch, and empty
 a fixed random probe sequence (optimal densification). Bands of bins are the buckets.
 
 Documents with equal sets are one class. Every class in a bucket is paired with one centre, the class that shares buckets with most others,
-only, so pairs grow with the bucket's size and not with its square. Pairs are confirmed on the full sets. What a star
-leaves open is settled in further rounds, exactly: Jaccard distance is a metric, so with threshold t
+only, so pairs grow with the bucket's size and not with its square. Pairs are confirmed on the full sets. Jaccard distance is a metric, so with threshold t
 
 * classes linked with the centre are one component, and pairs among them need no test;
-* a class whose similarity to the centre is under 2 t - 1 is linked with none of those linked to the centre;
-* classes not linked with the centre meet in the next round's stars, of a few more centres;
-* a class between 2 t - 1 and t that is still in another component is paired with the centre's linked ones.
+* a class whose similarity to the centre is under 2 t - 1 is linked with none of those linked to the centre.
+
+Buckets whose other members are still of several components are open. Their classes meet once more by an exact prefix filter: two sets of n and m shingles are linked
+only if they share at least a = ceil(t (n + m) / (1 + t)), so in any common order of shingles the first n - a + 1 of one and the first m - a + 1 of the other share one.
+Rare shingles come first. Copies of one text that lie just below the threshold differ in more shingles of their own than that and meet nowhere. Classes
+that share such a shingle and are of several components form stars again, of ever more centres, until no pair is left.
 
 Components are found by alternating large and small stars on the edges; every round is written to the shared folder.
 """
@@ -31,7 +33,8 @@ from larder.llm.common import filled, lower_ascii, stored, words
 from larder.session import fresh_path
 
 MISS = 1e-6  # chance that two sets at the threshold meet in no band
-MOST_CENTRES = 64  # of a bucket and round
+SIZE_STEP = 1.01  # sets whose sizes differ by less count as of one size when prefixes are chosen
+HOT_PAIRS = 200  # pairs of one centre that a task confirms
 BROADCAST_ROWS = 500_000  # of two numbers: some ten MB
 PROBES = 64  # probes of an empty bin; after them the next full bin on its right
 
@@ -149,11 +152,15 @@ def components(edges: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b, linked, near): whether 100 x common >= percent x united, and the same for 2 x percent - 100.
 
-    The centre's set travels, the other side's text does and becomes a set where they meet.
+    The centre's set travels, the other side's text does and becomes a set where they meet. A centre of many pairs is dealt out with them.
     """
-    centres = _sets(texts.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi"), size, "_a").withColumnRenamed("node", "a")
-    with_text = pairs.join(texts.withColumnRenamed("node", "b"), "b").select("a", "b", "text")
-    met = _sets(with_text.join(centres, "a"), size, "_b")
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HOT_PAIRS).cast("int").alias("_parts")).where("_parts > 1")
+    share = F.coalesce("_parts", F.lit(1))
+    dealt = pairs.join(many, "a", "left").withColumn("_part", F.pmod(F.xxhash64("b"), share).cast("int")).drop("_parts")
+    wanted = pairs.select("a").distinct().join(many, "a", "left").select(F.col("a").alias("node"), F.explode(F.sequence(F.lit(0), share - 1)).alias("_part"))
+    centres = _sets(texts.join(wanted, "node"), size, "_a").withColumnRenamed("node", "a")
+    with_text = dealt.join(texts.withColumnRenamed("node", "b"), "b").select("a", "b", "_part", "text")
+    met = _sets(with_text.join(centres, ["a", "_part"]), size, "_b")
     common = F.size(F.array_intersect("_a", "_b"))
     counted = met.select("a", "b", common.alias("_n"), (F.size("_a") + F.size("_b")).alias("_m"))
     united = F.col("_m") - F.col("_n")
@@ -179,28 +186,30 @@ def link(docs: DataFrame, size: int = 3, percent: int = 85, rows: int = 6) -> Da
     full = marked.where(F.col("n_shingles") > 0)
     # Equal sets have equal numbers; two different sets share a 64-bit number with odds of 2^-64.
     classes = stored(full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min(_row_key("text_hash")).alias("holder"), F.first("bands").alias("bands")), "minhash-classes")
-    alone = Window.partitionBy("band")
-    buckets = classes.select(F.explode("bands").alias("band"), "node").withColumn("_n", F.count(F.lit(1)).over(alone)).where(F.col("_n") > 1)
-    buckets = stored(buckets, "minhash-buckets")
+    placed = classes.select(F.explode("bands").alias("band"), "node")
+    shared = placed.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    buckets = stored(placed.join(shared, "band"), "minhash-buckets")
     # The text that others were made from shares buckets with more classes than its copies do: it makes the best centre.
     ranks = stored(buckets.groupBy("node").agg(F.sum("_n").alias("rank")), "minhash-ranks")
     best = F.max(F.struct("rank", "node"))["node"].alias("a")
     centres = buckets.join(ranks, "node").groupBy("band").agg(best)
     stars = stored(buckets.join(centres, "band").where(F.col("node") != F.col("a")).select("band", "a", F.col("node").alias("b")), "minhash-stars")
     texts = _texts(docs, classes, ranks.select("node"))  # later rounds pair the same classes
-    roots, turn = None, 0
-    while not stars.isEmpty():
-        turn += 1
-        checked = stored(_confirmed(stars.select("a", "b").distinct(), texts, size, percent), "minhash-checked")
-        linked = checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if roots is None:
-            roots = stored(components(linked), "minhash-roots")
-        elif not linked.isEmpty():
-            roots = stored(_merged(roots, linked), "minhash-roots")
-        judged = _rooted(_rooted(stars.join(checked, ["a", "b"]), "a", roots, "ra"), "b", roots, "rb")
-        stars = stored(_open_stars(stored(judged, "minhash-judged"), ranks, turn), "minhash-stars")
-    if roots is None:
-        roots = docs.sparkSession.createDataFrame([], "node long, root long")
+    checked = stored(_confirmed(stars.select("a", "b").distinct(), texts, size, percent), "minhash-checked")
+    roots = stored(components(checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))), "minhash-roots")
+    open_ = stored(_open_nodes(stars.join(checked, ["a", "b"]), roots), "minhash-open")
+    if not open_.isEmpty():
+        keyed, done, turn = stored(prefix_keys(texts.join(open_, "node"), size, percent), "minhash-keys"), 0, 0
+        while True:
+            turn, pairs = turn + 1, stored(_key_pairs(keyed, roots, checked, percent, done, done + 4**turn), "minhash-pairs")
+            if pairs.isEmpty() and not _still_open(keyed, roots, done + 4**turn):
+                break
+            done += 4**turn
+            found = stored(_confirmed(pairs, texts, size, percent), "minhash-found")
+            checked = checked.union(found)
+            linked = found.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+            if not linked.isEmpty():
+                roots = stored(_merged(roots, linked), "minhash-roots")
 
     named = _rooted(classes.select("node", "first_id"), "node", roots, "root")
     firsts = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -239,24 +248,77 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return _rooted(known, "root", moved, "to").select("node", F.col("to").alias("root"))
 
 
-def _open_stars(judged: DataFrame, ranks: DataFrame, turn: int) -> DataFrame:
-    """(band, a, b): the pairs that a round (band, a, b, linked, near, ra, rb) leaves to be tested; ra and rb are the roots.
+def _open_nodes(judged: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node,): the members of buckets that the first stars (band, a, b, linked, near) leave open, but for their centres.
+
+    A centre has met all others. Of those not linked with it, two components are to be compared, and a near one of another component with all that are linked.
+    """
+    rows = _rooted(_rooted(judged, "a", roots, "ra"), "b", roots, "rb")
+    stranger = F.col("ra") != F.col("rb")
+    state = rows.groupBy("band").agg(
+        F.min(F.when(~F.col("linked"), F.col("rb"))).alias("_low"), F.max(F.when(~F.col("linked"), F.col("rb"))).alias("_high"),
+        F.max(~F.col("linked") & F.col("near") & stranger).alias("_near"), F.max("linked").alias("_any"),
+    )
+    apart, crossing = F.coalesce(F.col("_low") != F.col("_high"), F.lit(False)), F.col("_near") & F.col("_any")
+    state = state.withColumns({"_apart": apart, "_crossing": crossing}).where("_apart OR _crossing").select("band", "_apart", "_crossing")
+    held = rows.join(state, "band").where(F.when(F.col("linked"), F.col("_crossing")).otherwise(F.col("_apart") | (F.col("_crossing") & F.col("near"))))
+    return held.select(F.col("b").alias("node")).distinct()
+
+
+def _bucket(n):
+    return F.floor(F.log(n.cast("double")) / math.log(SIZE_STEP)).cast("int")
 
-    Members linked with no centre meet in new stars, if they are of several components: four, then sixteen, then
-    64 centres in a bucket and round. A near one in another component than the centre is paired with what is linked to the centre.
+
+def prefix_keys(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(key, node, n, spot, place) of (node, text): two linked sets share a key; only keys of several nodes are kept, each with its nodes numbered from 1.
+
+    A key is a shingle and the size classes of both sets. For a partner of at least m shingles a set of n gives its n - a + 1 rarest ones.
+    """
+    sets = _sets(texts.select("node", "text"), size, "_s").withColumn("n", F.size("_s"))
+    rows = sets.select("node", F.explode("_s").alias("g"))
+    frequency = rows.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    ordered = rows.join(frequency, "g").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("_s"))  # a text's own shingles
+    low, high = F.ceil(F.col("n") * percent / 100 - 1e-9), F.floor(F.col("n") * 100 / percent + 1e-9)
+    wide = ordered.withColumn("n", F.size("_s")).select("node", "_s", "n", _bucket(F.col("n")).alias("_own"), F.explode(F.sequence(_bucket(F.greatest(low, F.lit(1))), _bucket(high))).alias("_other"))
+    least = F.ceil(F.pow(F.lit(SIZE_STEP), F.col("_other"))).cast("int")  # of the size class; one less where the logarithm rounds so
+    partner = F.greatest(F.when(_bucket(F.greatest(least - 1, F.lit(1))) >= F.col("_other"), least - 1).otherwise(least), low.cast("int"), F.lit(1))
+    first = F.least(F.greatest(_prefix(F.col("n"), partner, percent), F.lit(0)), F.col("n"))
+    keys = wide.select("node", "n", "_own", "_other", F.posexplode(F.slice("_s", F.lit(1), first)["g"]).alias("spot", "g"))
+    key = F.xxhash64("g", F.least("_own", "_other"), F.greatest("_own", "_other"))
+    held = stored(keys.select(key.alias("key"), "node", "n", "spot"), "minhash-prefixes")
+    several = held.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("key")
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node"), "node"))
+    return held.join(several, "key").withColumn("place", place)
+
+
+def _prefix(n, m, percent: int):
+    """How many of its rarest shingles a set of ``n`` gives for a partner of ``m``: with fewer common ones the two are not linked."""
+    return n - F.ceil(percent * (n + m) / F.lit(100 + percent) - 1e-9).cast("int") + 1
+
+
+def _left_of(keyed: DataFrame, roots: DataFrame, done: int) -> DataFrame:
+    """(key, node, n, spot, place, root) of the keys whose nodes after the first ``done`` are of several components."""
+    left = _rooted(keyed.where(F.col("place") > done), "node", roots, "root")
+    several = left.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(F.col("_low") != F.col("_high")).select("key")
+    return left.join(several, "key")
+
+
+def _key_pairs(keyed: DataFrame, roots: DataFrame, checked: DataFrame, percent: int, done: int, until: int) -> DataFrame:
+    """(a, b): pairs of different components in one key whose first is among places ``done`` + 1 to ``until``, unless they were tested before.
+
+    Both must have the key within the prefix for the other's own size.
     """
-    # A centre has met all others of its bucket, so it counts as settled.
-    seen = judged.select("band", F.col("b").alias("node"), F.col("rb").alias("root"), "linked").union(judged.select("band", "a", "ra", F.lit(True)))
-    left = seen.groupBy("band", "node", "root").agg(F.max("linked").alias("_any")).where(~F.col("_any")).join(ranks, "node")
-    by = Window.partitionBy("band")
-    ranked = left.select("band", "node", F.min("root").over(by).alias("_low"), F.max("root").over(by).alias("_high"), F.row_number().over(by.orderBy(F.desc("rank"), "node")).alias("_place"))
-    members = ranked.where(F.col("_low") != F.col("_high"))
-    centres = members.where(F.col("_place") <= min(4**turn, MOST_CENTRES)).select("band", F.col("node").alias("a"), F.col("_place").alias("_first"))
-    stars = members.join(centres, "band").where(F.col("_place") > F.col("_first")).select(F.xxhash64("band", F.lit(turn)).alias("band"), "a", F.col("node").alias("b"))
-    between = judged.where(~F.col("linked") & F.col("near") & (F.col("ra") != F.col("rb"))).select("band", "a", F.col("b").alias("_b"))
-    hanging = judged.where("linked").select("band", "a", F.col("b").alias("_m"))
-    crossed = between.join(hanging, ["band", "a"]).select(F.xxhash64("band", "_b", F.lit(turn)).alias("band"), F.col("_b").alias("a"), F.col("_m").alias("b"))
-    return stars.union(crossed)
+    left = stored(_left_of(keyed, roots, done), "minhash-left")
+    centres = left.where(F.col("place") <= until).select("key", F.col("node").alias("a"), F.col("place").alias("_first"), F.col("root").alias("_root"), F.col("n").alias("_m"), F.col("spot").alias("_spot"))
+    within = (F.col("spot") < _prefix(F.col("n"), F.col("_m"), percent)) & (F.col("_spot") < _prefix(F.col("_m"), F.col("n"), percent))
+    met = left.join(centres, "key").where((F.col("place") > F.col("_first")) & (F.col("root") != F.col("_root")) & within).select("a", F.col("node").alias("b"))
+    once = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    tested = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return once.join(tested, ["a", "b"], "left_anti")
+
+
+def _still_open(keyed: DataFrame, roots: DataFrame, done: int) -> bool:
+    return not _left_of(keyed, roots, done).isEmpty()
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = 5) -> DataFrame:
@@ -265,11 +327,11 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = 5) -
     Of rows repeated with one id, the one with the smallest hash of its text stays. Rows without words all stay.
     """
     linked = stored(link(docs, size, percent, rows).where(F.col("n_shingles") > 0), "minhash-linked")
-    per_id = linked.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"), F.min("text_hash").alias("_keep"))
-    again = per_id.where(F.col("_n") > 1)
-    dropped = linked.where(~F.col("kept")).select("doc_id", "text_hash").union(linked.where("kept").join(again.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text_hash"))
-    gone = dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    once = docs.join(again.select(F.col("doc_id").alias("_id"), F.col("_keep").alias("_hash")), same, "left_semi")
-    one = once.dropDuplicates(["doc_id"])
-    return docs.join(gone, same, "left_anti").unionByName(one)
+    per_id = linked.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("text_hash").alias("keep"))
+    again = per_id.where(F.col("n") > 1).select(F.col("doc_id").alias("id"), "keep")
+    dropped = linked.where(~F.col("kept")).select("doc_id", "text_hash").union(linked.where("kept").join(again, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text_hash"))
+    gone = dropped.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # so that no column of the input has a name of ours
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("hash"))
+    one = whole.join(again.withColumnRenamed("keep", "hash"), same, "left_semi").withColumn("id", F.col("row.doc_id")).dropDuplicates(["id"]).select("row")
+    return whole.join(gone, same, "left_anti").unionByName(one).select("row.*")

@@ -93,3 +93,42 @@ def test_sketch_estimates_similarity():
     assert abs((found[0] == found[1]).mean() - 500 / 700) < 0.06
     tiny = nd.sketch(a[:2], np.array([0, 0]), 1, 500)
     assert set(tiny[0].tolist()) <= set(nd._mixed(a[:2]).tolist())
+
+
+def _just_below(n, changed=12):
+    """A text of 400 words and copies with some words of their own, so that each is 0.83 similar to the text."""
+    base = [f"b{i}" for i in range(400)]
+    out = [" ".join(base)]
+    for c in range(n - 1):
+        words = list(base)
+        for i in range(changed):
+            words[(i * 23 + c * 7) % 400] = f"own{c}x{i}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_pairs_of_copies_just_below_the_threshold_grow_with_their_number(spark):
+    counts = []
+    for n in (50, 400):
+        texts = spark.createDataFrame(list(enumerate(_just_below(n))), "node long, text string")
+        keyed = nd.stored(nd.prefix_keys(texts, 3, 85), "test-keys")
+        roots, none = spark.createDataFrame([], "node long, root long"), spark.createDataFrame([], "a long, b long")
+        counts.append(nd._key_pairs(keyed, roots, none, 85, 0, 10**6).count())
+    sets = [_set(t, 3) for t in _just_below(50)]
+    similar = [len(sets[0] & b) / len(sets[0] | b) for b in sets[1:]]
+    assert 0.82 < min(similar) <= max(similar) < 0.85
+    assert counts[0] <= 50 and counts[1] <= 400
+
+
+@pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
+def test_linked_sets_share_a_key(spark, size, percent):
+    texts = [t for t in _families(11, 80, 14) if _set(t, size)]
+    distinct = list({frozenset(_set(t, size)): t for t in texts}.values())
+    sets = [_set(t, size) for t in distinct]
+    keyed = nd.prefix_keys(spark.createDataFrame(list(enumerate(distinct)), "node long, text string"), size, percent).collect()
+    by_key = {}
+    for r in keyed:
+        by_key.setdefault(r.key, set()).add(r.node)
+    met = {(a, b) for nodes in by_key.values() for a in nodes for b in nodes if a < b}
+    linked = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert len(linked) > 10 and linked <= met
