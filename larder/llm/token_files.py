@@ -106,21 +106,22 @@ class Encoder:
 
     Byte-level BPE of this family begins a new pre-token at every blank that is followed by something other than
     white space, so a text's ids are those of its pieces cut there, one after another. Pieces
-    not met before are encoded in one call; ids are dealt back to them by the length of their bytes.
+    not met before are encoded in one call; ids are dealt back to them by the length of their bytes. A text with the string of a special token
+    is encoded whole, as the library has a single id for it there.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
         self.known: dict[str, bytes] = {}  # ids of " " + piece
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian u32 ids of each text; its first piece has no blank before it and is encoded as it is."""
-        pieces = [self.pieces(t) for t in texts]
+        pieces = [[t] if any(s in t for s in self.special) else self.pieces(t) for t in texts]
         if len(self.known) > CACHED_PIECES:
             self.known.clear()
         known = self.known

@@ -12,9 +12,7 @@ from larder.llm import token_files
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
