@@ -71,9 +71,9 @@ def fit(labelled: DataFrame, centroids: int = CENTROIDS, fit_rows: int = FIT_ROW
     """
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("doc_id", "text").alias("_h"))
     # Only about four times as many as wanted go to the ranking, whatever the number of rows and tasks.
-    sizes = labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("_all"))
-    low = F.pmod("_h", F.lit(1 << 40)) < F.least(F.lit(1.0), 4.0 * fit_rows / F.col("_all")) * (1 << 40)
-    known = known.join(sizes, "lang").where(low)
+    sizes = labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each language, as in the model
+    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 4.0 * fit_rows / r["n"]))) for r in sizes], F.lit(0.0))
+    known = known.where(F.pmod("_h", F.lit(1 << 40)) < share * (1 << 40))
     chosen = known.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_h"))).where(F.col("_n") <= fit_rows).select("lang", "text", "_h")
     chosen = stored(chosen, "language-sample")
 
