@@ -66,8 +66,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes:
 
 def without_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no window of the benchmark."""
-    hit = scan(docs, benchmark).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    hit = scan(docs, benchmark).where(F.size("spans") > 0).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # so that no column of the input has a name of ours
+    return whole.join(hit, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("hash")), "left_anti").select("row.*")
 
 
 def _joined(done, span):

@@ -209,6 +209,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows that ``judge`` keeps, with all their columns."""
-    bad = judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash")).distinct()
-    key = F.xxhash64(*[F.col(c) for c in ("doc_id", "lang", "source", "text")])
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_hash")), "left_anti")
+    bad = judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("id"), F.col("row_hash").alias("hash")).distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # so that no column of the input has a name of ours
+    key = F.xxhash64(*[F.col("row")[c] for c in ("doc_id", "lang", "source", "text")])
+    return whole.join(bad, F.col("row.doc_id").eqNullSafe(F.col("id")) & (key == F.col("hash")), "left_anti").select("row.*")

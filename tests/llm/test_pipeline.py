@@ -1,6 +1,8 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from larder.llm import decontamination
 
 
@@ -53,3 +55,21 @@ def test_without_hits_keeps_rows(spark):
     docs, leak = _docs(spark)
     items = spark.createDataFrame([(1, leak)], "item_id long, text string")
     assert decontamination.without_hits(docs, items).count() == docs.count() - 1
+
+
+CLASHING = ["_id", "_hash", "id", "hash", "row", "target", "taken", "passes", "picked", "source_size", "_pass", "band", "node"]
+
+
+def test_columns_with_the_names_of_the_operators_keep_their_values(spark, folder):
+    docs, leak = _docs(spark)
+    for c in CLASHING:
+        docs = docs.withColumn(c, F.concat(F.lit(f"mine-{c}-"), F.col("doc_id").cast("string")))
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, folder).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        rows = docs.collect()
+        assert len(rows) > 100 and all(r[c] == f"mine-{c}-{r['doc_id']}" for r in rows for c in CLASHING)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()
