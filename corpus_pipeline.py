@@ -36,10 +36,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The mix of the sources: a row for each pass that a document takes part in, its text cut to the picked blocks."""
-    kept = docs.columns
-    mixed = mixing.mix(docs.withColumn(mixing.SIZE, F.size(words("text")).cast("long")), WEIGHTS, size=mixing.SIZE)
+    own = ("doc_id", "source", "text")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    row = F.struct(*others) if others else F.lit(None).cast("struct<none:int>")  # apart, so that no column of the input has a name of the mix
+    mixed = mixing.mix(docs.select(*own, row.alias("row"), F.size(words("text")).cast("long").alias(mixing.SIZE)), WEIGHTS, size=mixing.SIZE)
     texts = mixing.mixed_texts(mixed, size=mixing.SIZE)
-    return texts.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*kept) if "n_chars" in kept else texts.select(*kept)
+    made = {"n_chars": lambda: F.length("text").cast(docs.schema["n_chars"].dataType), **{c: (lambda c=c: F.col(c)) for c in own}}
+    return texts.select(*[(made[c]() if c in made else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
