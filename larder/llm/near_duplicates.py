@@ -274,8 +274,8 @@ def prefix_keys(texts: DataFrame, size: int, percent: int) -> DataFrame:
 
     A key is a shingle and the size classes of both sets. For a partner of at least m shingles a set of n gives its n - a + 1 rarest ones.
     """
-    sets = _sets(texts.select("node", "text"), size, "_s").withColumn("n", F.size("_s"))
-    rows = sets.select("node", F.explode("_s").alias("g"))
+    # The outer form: a plain explode adds a filter on the set's size, which would make the set again for every word.
+    rows = _sets(texts.select("node", "text"), size, "_s").select("node", F.explode_outer("_s").alias("g"))
     frequency = rows.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
     ordered = rows.join(frequency, "g").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("_s"))  # a text's own shingles
     low, high = F.ceil(F.col("n") * percent / 100 - 1e-9), F.floor(F.col("n") * 100 / percent + 1e-9)
