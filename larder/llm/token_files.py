@@ -113,7 +113,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.whole, self.tokenizer = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # it gets only texts without their strings, and need not look for them
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
@@ -121,13 +122,17 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian u32 ids of each text; its first piece has no blank before it and is encoded as it is."""
-        pieces = [[t] if any(s in t for s in self.special) else self.pieces(t) for t in texts]
+        marked = [any(s in t for s in self.special) for t in texts]
+        pieces = [[""] if m else self.pieces(t) for m, t in zip(marked, texts)]
         if len(self.known) > CACHED_PIECES:
             self.known.clear()
         known = self.known
         self.learn(list(dict.fromkeys(p for some in pieces for p in some[1:] if p not in known)))
         firsts = self.tokenizer.encode_batch_fast([some[0] for some in pieces], add_special_tokens=False)
-        return [b"".join([np.array(first.ids, dtype="<u4").tobytes(), *[known[p] for p in some[1:]]]) for first, some in zip(firsts, pieces)]
+        out = [b"".join([np.array(first.ids, dtype="<u4").tobytes(), *[known[p] for p in some[1:]]]) for first, some in zip(firsts, pieces)]
+        for i in np.flatnonzero(marked).tolist():
+            out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return out
 
     @staticmethod
     def pieces(text: str) -> list[str]:
