@@ -65,3 +65,21 @@ def test_top_k(spark, items, form):
         mine = [r for r in got if r.query_id == key]
         assert [r.item_id for r in mine] == best
         assert [r.score for r in mine] == pytest.approx([scores[i] for i in best], abs=1e-7)
+
+
+def test_pieces_and_empty_tables(spark, items, monkeypatch):
+    monkeypatch.setattr(lexical, "PIECE_WORDS", 3)  # texts are cut into several pieces
+    import pyarrow as pa
+
+    batch = pa.record_batch({"i": [0, 1, 2, 3], "w": pa.array([["a", "b", "c", "d", "e"], [], None, ["f", "g"]], pa.list_(pa.string()))})
+    assert [p.column(0).to_pylist() for p in lexical._pieces(batch)] == [[0], [1, 2, 3]]
+    empty = spark.createDataFrame([], "item_id long, text_full string")
+    index = lexical.fit(empty)
+    assert index.item_vectors().count() == 0 and index.vocabulary.count() == 0
+    assert lexical.by_text(spark.createDataFrame([(1, "gin")], "query_id long, text string"), index, 3).count() == 0
+
+
+def test_texts_are_not_shuffled(spark, items):
+    index = lexical.fit(items)
+    plan = index.vectors(items, "text_full", "item_id")._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
