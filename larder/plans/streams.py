@@ -29,23 +29,48 @@ STREAM_SQL = f"""WITH daily AS (SELECT DISTINCT '{fixed.INGREDIENT_REQUEST_PREFI
     FROM english JOIN answered ON query_id = id JOIN daily USING (text)"""
 
 
-@query("stm01_answer_stream", STREAM_SQL)
-def _(t: Tables):
-    """Events, as four slices in order of time, as a request stream for the part they name; a request is answered once a day."""
-    items = save_table(v.items(t), fresh_path(t.spark, "items"))
-    index = save_table(recommend.build_index(items, keep=[]), fresh_path(t.spark, "index"))
+REPLIES_SQL = STREAM_SQL.replace("SELECT DISTINCT", "SELECT event_id, ts,", 1).replace(
+    "SELECT text AS original_query,", """SELECT event_id AS query_id, text AS original_query,
+           row_number() OVER (PARTITION BY text, day ORDER BY ts, event_id) > 1 AS cached,"""
+)
+
+
+def _by_slices(t: Tables, run) -> None:
+    """Events, as four slices in order of time, as a request stream for the part they name: ``run(requests)`` takes each slice."""
     folder = fresh_path(t.spark, "event-files")
     low, high = t.events.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
     part_of = F.floor((F.unix_timestamp("ts") - (low or 0)) * 4 / ((high or 0) - (low or 0) + 1))
     named = t.part.select(F.col("p_partkey").alias("k"), F.array("p_name").alias("names"))
-    out, state = fresh_path(t.spark, "answers"), fresh_path(t.spark, "stream-state")
     for n in range(4):  # a slice is one batch, however many files it has, and the next one goes on from its state
         t.events.where(part_of == n).write.mode("append").parquet(folder)
         stream = rq.request_stream(t.spark, folder, EVENT_SCHEMA)
         asked = stream.withColumn("k", F.from_json("props", "k long")["k"]).join(named, "k")
-        asked = asked.select(F.col("event_id").alias("query_id"), "ts", tx.ingredient_request("names").alias("text"))
-        rq.answer_stream(rq.distinct_requests(asked), index, items, out, state, available_now=True).awaitTermination()
+        run(asked.select(F.col("event_id").alias("query_id"), "ts", tx.ingredient_request("names").alias("text"))).awaitTermination()
+
+
+def _item_index(t: Tables):
+    items = save_table(v.items(t), fresh_path(t.spark, "items"))
+    return save_table(recommend.build_index(items, keep=[]), fresh_path(t.spark, "index")), items
+
+
+def _result(replies, *more: str):
     ids = F.array_join(F.transform("retrieved", lambda i: i["item_id"].cast("string")), ",")
-    return rq.read_answers(t.spark, out).select(
-        "original_query", "status", "max_similarity", ids.alias("retrieved"), "translated_query"
-    )
+    return replies.select(*more, "original_query", "status", "max_similarity", ids.alias("retrieved"), "translated_query")
+
+
+@query("stm01_answer_stream", STREAM_SQL)
+def _(t: Tables):
+    """A request is answered once a day."""
+    index, items = _item_index(t)
+    out, state = fresh_path(t.spark, "answers"), fresh_path(t.spark, "stream-state")
+    _by_slices(t, lambda asked: rq.answer_stream(rq.distinct_requests(asked), index, items, out, state, available_now=True))
+    return _result(rq.read_answers(t.spark, out))
+
+
+@query("stm01_reply_stream", REPLIES_SQL)
+def _(t: Tables):
+    """Every request gets a reply; a text's repeats within a day get the answer of the first, marked as cached."""
+    index, items = _item_index(t)
+    out, state = fresh_path(t.spark, "replies"), fresh_path(t.spark, "stream-state")
+    _by_slices(t, lambda asked: rq.reply_stream(rq.marked_requests(asked), index, items, out, state, available_now=True))
+    return _result(rq.read_replies(t.spark, out), "query_id", "cached")

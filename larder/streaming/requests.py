@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
+from larder.functions import text as tx
 from larder.operators.answers import AnswerSettings, answer
 
 DEFAULT_WINDOW, DEFAULT_DELAY = "1 day", "1 hour"
@@ -66,3 +67,90 @@ def answer_stream(
 
 def read_answers(spark: SparkSession, out_path: str) -> DataFrame:
     return spark.read.parquet(out_path).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+class _SeenTexts(StatefulProcessor):
+    """Marks the requests whose text an earlier batch asked in the same window; a timer forgets the text when its window has passed."""
+
+    def init(self, handle) -> None:
+        self._handle = handle
+        self._seen = handle.getValueState("seen", "seen boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self._seen.exists()
+        if not known:
+            self._seen.update((True,))
+            self._handle.registerTimer(key[1])
+        for frame in rows:
+            yield frame.assign(known=known)[["query_id", "asked_at", "text", "text_key", "until", "known"]]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self._seen.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def marked_requests(stream: DataFrame, event_time: str = "ts", text: str = "text", window: str = DEFAULT_WINDOW, delay: str = DEFAULT_DELAY) -> DataFrame:
+    """Every request with ``known``: whether its text was asked in its window before this batch.
+
+    State holds one flag for a text and window until the watermark, ``delay`` behind the latest event, has passed the window's
+    end; a request is late, and dropped, only then or when it is more than ``delay`` late itself. Null event times are dropped,
+    null texts are one text. Python state needs the RocksDB state store, which is set on the session.
+    """
+    stream.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+    timed = stream.where(F.col(event_time).isNotNull()).withWatermark(event_time, delay)
+    rows = timed.select(
+        "query_id", F.col(event_time).alias("asked_at"), F.col(text).alias("text"), tx.content_key(text).alias("text_key"),
+        F.unix_millis(F.window(event_time, window)["end"]).alias("until"),
+    )
+    return rows.groupBy("text_key", "until").transformWithStateInPandas(
+        _SeenTexts(), "query_id long, asked_at timestamp, text string, text_key string, until long, known boolean", "Append", "EventTime"
+    )
+
+
+def reply_stream(
+    marked: DataFrame, index: DataFrame, corpus: DataFrame, out_path: str, checkpoint: str, settings: AnswerSettings = AnswerSettings(),
+    *, available_now: bool = False, **plugins,
+) -> StreamingQuery:
+    """Reply to every row of ``marked_requests``: a text is answered once a window, its repeats get that answer with ``cached`` true.
+
+    Only texts that no earlier batch asked reach the index, the first request of each (by time, then id). Answers lie by window
+    and batch below ``out_path/answers``; a batch reads those of its own windows. Answers and replies of a replayed batch
+    overwrite the earlier ones. The join with the answers has one row for a text on that side, so a hot text is split by AQE.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            windows = [r["until"] for r in batch.select("until").distinct().collect()]  # the windows that a batch touches
+            if not windows:  # only timers ran
+                return
+            keys, fresh = ["text_key", "until"], batch.where(~F.col("known"))
+            if not fresh.isEmpty():
+                first = fresh.groupBy(*keys).agg(F.min(F.struct("asked_at", "query_id", "text")).alias("first"))
+                first = first.select(*keys, "first.query_id", "first.text").persist(StorageLevel.MEMORY_AND_DISK)
+                answered = answer(first.select("query_id", "text"), index, corpus, settings, **plugins)
+                kept = answered.drop("key", "cached", "original_query").join(first.select(*keys, "query_id"), "query_id")
+                table = kept.withColumnRenamed("query_id", "answered_id").withColumn("batch_id", F.lit(batch_id))
+                table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("until", "batch_id").parquet(f"{out_path}/answers")
+                first.unpersist()
+            known = spark.read.parquet(f"{out_path}/answers").where(F.col("until").isin(windows) & (F.col("batch_id") <= batch_id))
+            known = known.drop("batch_id").withColumn("until", F.col("until").cast("long"))
+            replies = batch.select("query_id", "asked_at", F.col("text").alias("original_query"), *keys).join(known, keys)
+            replies = replies.withColumn("cached", F.col("query_id") != F.col("answered_id")).drop(*keys, "answered_id")
+            replies.write.mode("overwrite").parquet(f"{out_path}/replies/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = marked.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
+
+
+def read_replies(spark: SparkSession, out_path: str) -> DataFrame:
+    return read_answers(spark, f"{out_path}/replies")

@@ -102,3 +102,24 @@ def test_registered_stream_takes_many_shuffled_files(spark, folder):
     for file in given.glob("*.parquet"):
         connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
     assert canonical(got) == canonical(connection.execute(SQL["stm01_answer_stream"]).df())
+
+
+def replies(spark, folder, index, corpus):
+    stream = rq.request_stream(spark, f"{folder}/in*", SCHEMA, "*.parquet", max_files=1)
+    query = rq.reply_stream(rq.marked_requests(stream), index, corpus, f"{folder}/out", f"{folder}/state", SETTINGS, available_now=True, embedder=toy)
+    query.awaitTermination()
+    return {r.query_id: r for r in rq.read_replies(spark, f"{folder}/out").collect()}
+
+
+def test_repeats_are_answered_from_the_first(spark, folder, index, corpus):  # noqa: F811
+    rows = [(0, 0, "gin"), (1, 30, "gin"), (2, 540, "gin"), (3, 1500, "gin"), (4, 1501, "rum"), (5, 1502, None)]  # the next day begins at 1440
+    drop(spark, f"{folder}/one", "in1", rows)
+    for i, part in enumerate((rows[:1], rows[1:3], rows[3:])):
+        drop(spark, f"{folder}/many", f"in{i}", part)
+    one, many = (replies(spark, f"{folder}/{way}", index, corpus) for way in ("one", "many"))
+    for got in (one, many):
+        assert {i: r.cached for i, r in got.items()} == {0: False, 1: True, 2: True, 3: False, 4: False, 5: False}
+        assert got[0].retrieved == got[1].retrieved == got[2].retrieved and got[1].original_query == "gin"
+        assert got[5].status == "empty"
+    assert {i: (r.status, r.max_similarity) for i, r in one.items()} == {i: (r.status, r.max_similarity) for i, r in many.items()}
+    assert many[2].batch_id == many[1].batch_id > many[0].batch_id
