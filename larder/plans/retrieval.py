@@ -351,6 +351,27 @@ def _(t: Tables):
     return found.groupBy("lang", "detected").agg(F.count("*").alias("n"))
 
 
+RANKS_SQL = f"""WITH lines AS (SELECT doc_id AS id, lang, CASE WHEN len(tokens) > 0 THEN string_split(' ' || array_to_string(tokens, ' ') || ' ', '') ELSE [] END AS chars
+        FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '\\p{{L}}+') AS tokens FROM documents)),
+    grams AS (SELECT id, lang, unnest(list_transform(range(1, greatest(len(chars) - 1, 1)), lambda i: chars[i] || chars[i + 1] || chars[i + 2])) AS gram FROM lines),
+    own AS (SELECT id, gram, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, gram) - 1 AS rank FROM grams GROUP BY id, gram
+            QUALIFY rank < {language.PROFILE_SIZE}),
+    learned AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) - 1 AS rank FROM grams WHERE lang IS NOT NULL
+                GROUP BY lang, gram QUALIFY rank < {language.PROFILE_SIZE}),
+    away AS (SELECT id, l.lang, sum(coalesce(abs(o.rank - p.rank), {language.PROFILE_SIZE})) AS distance
+             FROM own o CROSS JOIN (SELECT DISTINCT lang FROM learned) l LEFT JOIN learned p ON p.lang = l.lang AND p.gram = o.gram GROUP BY id, l.lang),
+    best AS (SELECT id, lang, distance FROM away QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, lang) = 1)
+    SELECT doc_id, coalesce(best.lang, 'unknown') AS detected, CAST(distance AS BIGINT) AS distance FROM documents LEFT JOIN best ON id = doc_id"""
+
+
+@query("ret09_rank_profiles", RANKS_SQL)
+def _(t: Tables):
+    """The language of every document by the three-character runs that the labelled documents teach."""
+    docs = t.spread("documents").select("doc_id", "text", "lang")
+    profiles = language.RankProfiles.of(language.learn_profiles(docs))
+    return language.detect_by_ranks(docs.select("doc_id", "text"), "text", profiles).drop("text")
+
+
 def dictionary_sql() -> str:
     rows = ", ".join(f"('{g}', '{w}', '{e}')" for g, words in language.DICTIONARY.items() for w, e in words.items())
     return f"dictionary AS (SELECT * FROM (VALUES {rows}) d(lang, word, english))"
