@@ -11,7 +11,7 @@ from larder.plans.registry import Tables, query
 from larder.plans.retrieval import SELF, VECTOR_SCORES, detected_sql, profile_sql
 from larder.plans.texts import TOKENS
 from larder.session import fresh_path
-from larder.sources.writers import save_table
+from larder.sources.writers import save_report, save_table
 
 METRICS = ("precision", "recall", "ndcg")
 
@@ -291,16 +291,15 @@ def _(t: Tables):
     return _rounded(evaluation.summary_report(long, fixed.K_VALUES), ["at_1", "at_3", "at_5", "at_10"])
 
 
-@query(
-    "evl11_report",
-    JUDGED + f""", {BLEU}, {ROUGE}, means AS (SELECT k, avg(precision) AS precision, avg(recall) AS recall, avg(ndcg) AS ndcg FROM metrics GROUP BY k),
-        l AS (SELECT k, 'precision' AS metric, precision AS x FROM means UNION ALL SELECT k, 'recall', recall FROM means UNION ALL SELECT k, 'ndcg', ndcg FROM means)
-        SELECT metric, k, round(x, 6) AS value FROM l
-        UNION ALL SELECT 'bleu4', NULL, round(avg(bleu4), 6) FROM bleu UNION ALL SELECT 'rouge_l', NULL, round(avg(rouge_l), 6) FROM rouge
-        UNION ALL SELECT 'n_pairs', NULL, count(*) FROM pairs
-        UNION ALL SELECT 'n_queries', NULL, count(*) FROM embeddings UNION ALL SELECT 'n_evaluated', NULL, count(*) FROM sizes""",
-)
-def _(t: Tables):
+REPORT_SQL = JUDGED + f""", {BLEU}, {ROUGE}, means AS (SELECT k, avg(precision) AS precision, avg(recall) AS recall, avg(ndcg) AS ndcg FROM metrics GROUP BY k),
+    l AS (SELECT k, 'precision' AS metric, precision AS x FROM means UNION ALL SELECT k, 'recall', recall FROM means UNION ALL SELECT k, 'ndcg', ndcg FROM means)
+    SELECT metric, k, round(x, 6) AS value FROM l
+    UNION ALL SELECT 'bleu4', NULL, round(avg(bleu4), 6) FROM bleu UNION ALL SELECT 'rouge_l', NULL, round(avg(rouge_l), 6) FROM rouge
+    UNION ALL SELECT 'n_pairs', NULL, count(*) FROM pairs
+    UNION ALL SELECT 'n_queries', NULL, count(*) FROM embeddings UNION ALL SELECT 'n_evaluated', NULL, count(*) FROM sizes"""
+
+
+def _report(t: Tables):
     """The whole evaluation as one table: retrieval per k, generated text, and how many requests and pairs were judged."""
     means = evaluation.macro_mean(_label_metrics(t))
     asked = v.vector_items(t).select(F.col("item_id").alias("query_id"), "label")
@@ -310,6 +309,23 @@ def _(t: Tables):
     return _rounded(report, ["value"])
 
 
+@query("evl11_report", REPORT_SQL)
+def _(t: Tables):
+    return _report(t)
+
+
+@query(
+    "src08_evaluation_report",
+    f"SELECT 'label neighbours' AS config, '{','.join(map(str, fixed.K_VALUES))}' AS k_values, metric, k::BIGINT AS k, value FROM ({REPORT_SQL})",
+)
+def _(t: Tables):
+    """The evaluation with its configuration as JSON lines, absent values written as null, read back."""
+    config = {"config": F.lit("label neighbours"), "k_values": F.lit(",".join(map(str, fixed.K_VALUES)))}
+    path = fresh_path(t.spark, "report")
+    save_report(_report(t).withColumns(config), path)
+    return t.spark.read.schema("config string, k_values string, metric string, k long, value double").json(path)
+
+
 # --- clustering ---------------------------------------------------------------
 
 @query("ml01_kmeans")

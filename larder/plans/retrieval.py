@@ -381,12 +381,13 @@ def translated_sql(source: str) -> str:
     """``english (id, english, was_translated)`` for ``source (id, text)``."""
     return f"""{profile_sql()}, {dictionary_sql()}, {detected_sql('found', source)},
 given AS (SELECT s.id, s.text, f.lang FROM ({source}) s JOIN found f USING (id)),
-tokens AS (SELECT id, lang, unnest(string_split(text, ' ')) AS token, unnest(range(len(string_split(text, ' ')))) AS place FROM given),
-made AS (SELECT id, string_agg(coalesce(english, token), ' ' ORDER BY place) AS line
+runs AS (SELECT id, lang, regexp_extract_all(text, '\\p{{L}}+|[^\\p{{L}}]+') AS run FROM given),
+tokens AS (SELECT id, lang, unnest(run) AS token, unnest(range(len(run))) AS place FROM runs),
+made AS (SELECT id, string_agg(coalesce(english, token), '' ORDER BY place) AS line
          FROM tokens t LEFT JOIN dictionary d ON d.lang = t.lang AND d.word = lower(t.token) GROUP BY id),
 english AS (SELECT id, text, CASE WHEN changed THEN line ELSE text END AS english, changed AS was_translated
             FROM (SELECT g.id, text, line, lang NOT IN ('en', 'unknown') AND lower(trim(line)) <> lower(trim(text)) AS changed
-                  FROM given g JOIN made USING (id)))"""
+                  FROM given g LEFT JOIN made USING (id)))"""
 
 
 @query(
@@ -516,3 +517,33 @@ def _(t: Tables):
     settings = answers.AnswerSettings(translate=False, model="plugin")
     answered = answers.answer(v.benchmark_requests(t), recommend.build_index(items), items, settings, generator=generator)
     return answered.select("query_id", "generated_recipe")
+
+
+_PROMPT_SQL = f"length('{fixed.PROMPT_HEAD}' || context || '{fixed.PROMPT_REQUEST}' || text || '{fixed.PROMPT_TAIL}')"
+
+
+@query(
+    "ret08_translated_answer",
+    f"""WITH {TEXT_SCORES}, {v.ranked('top', 'scores', 3)},
+        contexts AS (SELECT query_id, {CONTEXT_SQL} AS context, max(score) AS best FROM top JOIN items USING (item_id) GROUP BY query_id)
+        SELECT query_id, CASE WHEN best < {fixed.GUARDRAIL_THRESHOLD} THEN NULL WHEN {_PROMPT_SQL} % 2 = 0 THEN 'le verre avec la menthe ' || {_PROMPT_SQL}
+            ELSE 'fr: the glass with the mint ' || {_PROMPT_SQL} END AS generated_recipe
+        FROM contexts JOIN requests USING (query_id)""",
+)
+def _(t: Tables):
+    """Generated answers in the user's language: those already in it stay, the others go through the translator once each."""
+
+    def generator(frames):
+        for frame in frames:
+            size = frame.payload.str.len()
+            english = "the glass with the mint " + size.astype(str)
+            yield frame.assign(value=english.where(size % 2 == 1, "le verre avec la menthe " + size.astype(str)))[["key", "value"]]
+
+    def translator(frames):
+        for frame in frames:
+            yield frame.assign(value="fr: " + frame.payload)[["key", "value"]]
+
+    items = v.document_items(t)
+    settings = answers.AnswerSettings(translate=False, model="plugin", language="fr")
+    answered = answers.answer(v.benchmark_requests(t), recommend.build_index(items), items, settings, generator=generator, translator=translator)
+    return answered.select("query_id", "generated_recipe")

@@ -148,3 +148,9 @@ def test_plug_in_translator_sees_each_foreign_text_once_and_no_ops_do_not_count(
     assert [r.was_translated for r in got] == [True] * 5 + [False, False]
     back = language.to_language(asked(spark, ["the mint", "le rhum", ""]), "text", "fr", lambda fs: (f.assign(value="fr " + f.payload)[["key", "value"]] for f in fs))
     assert [r.text_fr for r in back.orderBy("query_id").collect()] == ["fr the mint", "le rhum", ""]
+
+
+def test_words_next_to_punctuation_are_translated(spark):
+    texts = spark.createDataFrame([(1, "Citron, menthe; (le rhum)\n", "fr"), (2, "", "fr"), (3, None, "fr"), (4, "citron2", "fr")], "id long, text string, lang string")
+    made = language.translate_words(texts, language.dictionary_table(spark))
+    assert {r.id: r.value for r in made.collect()} == {1: "lemon, mint; (the rum)\n", 2: "", 3: None, 4: "lemon2"}
