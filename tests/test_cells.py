@@ -1,6 +1,7 @@
 """Joins over Voronoi cells against brute force, and how little of the pairs they meet."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,42 @@ def test_no_cross_join(spark):
     x = clustered(60, 3, 4, 0.2)
     plan = plan_of(cj.pairs_in_cells(table(spark, x), None, 0.9, "item_id", "embedding", 10))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_a_request_is_sent_to_blocks_and_not_to_cells(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(900, 12))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)  # all directions alike: nearly every bound holds
+    items, asked = table(spark, x), table(spark, x, "query_id")
+    sizes = []
+    for cell_rows in (100, 10):
+        found, again, cells = cj.nearest_in_cells(asked, items, 5, SELF, cell_rows=cell_rows)
+        sent = cj.sent_rows(again, cells).first()
+        copies = again.agg(F.sum(F.size("_targets"))).first()[0]
+        assert copies <= 900 * len(cells.members) and copies < sent.sent / 3
+        sizes.append(copies)
+        got = similarity.rank_matches(found, 5).select("query_id", "item_id", "score", "rank")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, similarity.top_k(asked, items, 5, SELF).collect()))
+    assert sizes[1] <= 900 * len(cells.members) and len(cells.rows) > 80
+
+
+def test_single_precision_loses_no_match(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "TILE_ENTRIES", 6_000)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 8)).round(1).astype(np.float32)  # many ties and near ties
+    x[::50] = 0.0
+    x[3], x[7] = x[3] * 1e18, np.nan
+    q = np.concatenate([x[:40], x[:1] * 1e16])
+    for scoring in (Scoring(), SELF):
+        requests = similarity.Requests(pa.table({"query_id": np.arange(len(q)), "embedding": list(q)}), scoring)
+        best = similarity.Best(requests, 5)
+        order = rng.permutation(len(x))
+        for part in np.array_split(order, 4):
+            best.offer(pa.table({"item_id": part, "embedding": list(x[part])}))
+        got = {}
+        for r in best.result().to_pylist():
+            got.setdefault(r["query_id"], []).append((r["item_id"], r["score"]))
+        scores = scores_of(q, x)
+        for i, row in enumerate(scores):
+            usable = [(-s, j) for j, s in enumerate(row.tolist()) if np.isfinite(s) and not (scoring.exclude_self and i == j)]
+            assert got.get(i, []) == [(j, -s) for s, j in sorted(usable)[:5]]
