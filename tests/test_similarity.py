@@ -264,3 +264,17 @@ def test_nan_and_null_vectors_lose_no_match(spark, form, bad):
     want = similarity.top_k(asked.where("query_id = 0"), spark.createDataFrame(good, schema), 2, **form).collect()
     got = similarity.top_k(asked, spark.createDataFrame(good + broken, schema).repartition(1), 2, **form).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) == 2
+
+
+def test_quantised_search_makes_no_row_of_a_candidate(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 8)).astype(np.float32)
+    items, asked = vectors(spark, x, "item_id"), vectors(spark, x, "query_id")
+    books = approximate.fit_codebooks(items, approximate.fit_cells(items, 2), parts=2, words=4)  # coarse codes: many candidates
+    codes = approximate.build_code_index(items, books)
+    assert approximate.quantised_candidates(asked, codes, books, 3, 2, Scoring(exclude_self=True)).count() > 400 * 3 * 2 * 5
+    monkeypatch.setattr(approximate, "written", None)  # no candidates are written
+    found = approximate.quantised_top_k(asked, codes, items, books, 3, 2, Scoring(exclude_self=True))
+    want = similarity.top_k(asked, items, 3, Scoring(exclude_self=True))  # both cells are probed
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert "BroadcastExchange" in plan_of(found) and plan_of(found).count("FlatMapCoGroupsInArrow") >= 1
