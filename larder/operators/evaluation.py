@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from larder import fixed
@@ -238,10 +238,10 @@ def _common_subsequence(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf(T.LongType())
-def common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Whole token lists in, length out. The recurrence runs over both lists and has no built-in."""
-    return pd.Series([_common_subsequence(list(x), list(y)) for x, y in zip(a, b)], dtype="int64")
+@F.arrow_udf(T.LongType())
+def common_subsequence(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Whole token lists in, length out. The recurrence runs over both lists and has no built-in; only one pair's words are strings at a time."""
+    return pa.array([_common_subsequence(x.as_py(), y.as_py()) for x, y in zip(a, b)], pa.int64())
 
 
 def rouge_tokens(c) -> Column:

@@ -21,7 +21,7 @@ from larder.functions import text as tx
 from larder.operators.similarity import Scoring, top_k, written
 
 # Texts of a batch are counted in pieces of about so many words; a longer text is a piece by itself.
-PIECE_WORDS = 1 << 20
+PIECE_WORDS = 1 << 18
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -274,7 +274,7 @@ class Requests:
         texts = items.column(s.item_text) if (s.available or s.required) else None
         if s.category:
             categories = np.array([self.codes.get(c, -2) for c in items.column(s.item_category).to_pylist()])
-        item_step = max(1, min(len(ids), TILE_ENTRIES // max(vectors.width, 1)))
+        item_step = max(1, min(len(ids), TILE_ENTRIES // max(vectors.width, len(self.terms), 1)))
         for low in range(0, len(ids), item_step):
             high = min(low + item_step, len(ids))
             block = vectors.block(low, high)

@@ -169,3 +169,17 @@ def test_generation_scores_are_rounded(spark, pairs):
 )
 def test_stems(word, expected):
     assert stem(word) == expected
+
+
+def test_batches_of_words_become_strings_a_distinct_word_or_pair_at_a_time():
+    import pyarrow as pa
+    from larder.functions import stem, vector
+    from larder.operators import evaluation
+
+    lists = pa.array([["running", "runs", "cat"], [], ["running"] * 50])
+    assert stem.stem_words.func(lists).to_pylist() == [["run", "run", "cat"], [], ["run"] * 50]
+    assert stem.stem_words.func(lists.slice(1, 2)).to_pylist() == [[], ["run"] * 50]
+    assert evaluation.common_subsequence.func(lists, pa.array([["cat"], ["a"], ["running", "x"]])).to_pylist() == [1, 0, 1]
+    texts = pa.array([None, "", "a b", "one two two"] * 400 + ["long word " * 300_000])
+    parts = list(vector._text_pieces(texts))
+    assert len(parts) > 4 and pa.concat_arrays(parts).equals(texts) and all(len(p) <= vector.PIECE_TEXTS for p in parts)
