@@ -140,3 +140,41 @@ def test_single_precision_loses_no_match(spark, monkeypatch):
         for i, row in enumerate(scores):
             usable = [(-s, j) for j, s in enumerate(row.tolist()) if np.isfinite(s) and not (scoring.exclude_self and i == j)]
             assert got.get(i, []) == [(j, -s) for s, j in sorted(usable)[:5]]
+
+
+def test_where_bounds_save_little_blocks_meet_without_copies(spark):
+    x = np.random.default_rng(4).normal(size=(600, 24)).astype(np.float32)  # all directions alike
+    items, asked = table(spark, x), table(spark, x, "query_id")
+    found, again, _ = cj.nearest_in_cells(asked, items, 5, SELF, cell_rows=20)
+    assert again.agg(F.sum(F.size("_targets"))).first()[0] > 600
+    plan = plan_of(found)
+    assert "CartesianProduct" in plan and "CoGroup" not in plan and "BroadcastNestedLoop" not in plan
+    expected = [(i, j, s) for i, row in enumerate(scores_of(x, x)) for s, j in [(-a, b) for a, b in sorted((-v, j) for j, v in enumerate(row.tolist()) if j != i)[:5]]]
+    assert sorted(tuple(r)[:3] for r in similarity.rank_matches(found, 5).select("query_id", "item_id", "score").collect()) == sorted(expected)
+
+
+def test_what_makes_the_vectors_runs_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.arrow_udf("array<float>")
+    def vector(ids: pa.Array) -> pa.Array:
+        made.add(len(ids))
+        return pa.array([[float(i), 1.0] for i in ids.to_pylist()], pa.list_(pa.float32()))
+
+    cells = cj.build_cells(spark.range(50).select(F.col("id").alias("item_id"), vector("id").alias("embedding")))
+    assert made.value == cells.items.count() == 50
+    made.value = 0
+    asked = spark.range(40).select(F.col("id").alias("query_id"), vector("id").alias("embedding"))
+    assert similarity.top_k(asked, table(spark, np.eye(2, dtype=np.float32)), 1, max_rows=0).count() == 40 and made.value == 40
+
+
+def test_a_poor_floor_does_not_cost_whole_tiles(monkeypatch):
+    rng = np.random.default_rng(6)
+    x, q = rng.normal(size=(20_000, 16)).astype(np.float32), rng.normal(size=(64, 16)).astype(np.float32)
+    whole, scored = similarity.Requests.whole, []
+    monkeypatch.setattr(similarity.Requests, "whole", lambda self, rows, block, low, high, marks=None: scored.append(len(rows) * (high - low)) or whole(self, rows, block, low, high, marks))
+    best = similarity.Best(similarity.Requests(pa.table({"query_id": np.arange(64), "embedding": list(q)}), Scoring()), 3, np.full(64, -5.0))
+    best.offer(pa.table({"item_id": np.arange(20_000), "embedding": list(x)}))
+    assert sum(scored) < 64 * 20_000 / 10
+    top = np.argsort(-scores_of(q, x), axis=1, kind="stable")[:, :3]
+    assert sorted(zip(best.result()["query_id"].to_pylist(), best.result()["item_id"].to_pylist())) == sorted((i, j) for i in range(64) for j in top[i].tolist())
