@@ -1,6 +1,7 @@
 """Similarity joins against brute force, in both physical forms."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,3 +279,34 @@ def test_quantised_search_makes_no_row_of_a_candidate(spark, monkeypatch):
     want = similarity.top_k(asked, items, 3, Scoring(exclude_self=True))  # both cells are probed
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
     assert "BroadcastExchange" in plan_of(found) and plan_of(found).count("FlatMapCoGroupsInArrow") >= 1
+
+
+def sparse_table(rows, name):
+    lists = pa.StructArray.from_arrays([pa.array([list(r) for r in rows], pa.list_(pa.int32())), pa.array([list(r.values()) for r in rows], pa.list_(pa.float64()))], ["slots", "weights"])
+    return pa.table({name: np.arange(len(rows)), "embedding": lists})
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_sparse_vectors_are_scored_by_shared_slots(monkeypatch, own):
+    monkeypatch.setattr(similarity, "HEAD_SLOTS", 6)
+    rng = np.random.default_rng(8)
+    dense = np.where(rng.random((3_000, 60)) < np.linspace(0.6, 0.02, 60), rng.integers(1, 4, (3_000, 60)), 0).astype(float)
+    dense[5], dense[700:760] = 0.0, dense[7]  # one without slots, and ties
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
+    rows = [{j: row[j] for j in np.flatnonzero(row)} for row in dense]
+    block, made = similarity.Vectors.block, []
+    monkeypatch.setattr(similarity.Vectors, "block", lambda self, low, high: made.append(high - low) or block(self, low, high))
+    best = similarity.Best(similarity.Requests(sparse_table(rows[:40], "query_id"), similarity.Scoring(exclude_self=own)), 4)
+    order = rng.permutation(3_000)
+    best.offer(sparse_table(rows, "item_id").take(pa.array(order)))
+    got = {}
+    for r in best.result().to_pylist():
+        got.setdefault(r["query_id"], []).append((r["item_id"], r["score"]))
+    scores = np.floor(dense[:40] @ dense.T * 1e8 + 0.5) / 1e8
+    for i, row in enumerate(scores):
+        assert got[i] == [(j, -v) for v, j in sorted((-v, j) for j, v in enumerate(row.tolist()) if not (own and i == j))[:4]]
+    # Only the first items, and those for the request that shares no slot, become whole rows of all slots.
+    requests = similarity.Requests(sparse_table(rows[7:40], "query_id"), similarity.Scoring())
+    made.clear()
+    similarity.Best(requests, 4).offer(sparse_table(rows, "item_id"))
+    assert sum(made) < 600
