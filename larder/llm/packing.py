@@ -13,13 +13,13 @@ Only (key, length) takes part in the rounds; ids are moved when the sequences ar
 from __future__ import annotations
 
 import math
-import operator
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,8 @@ GROUP_PIECES = 100_000  # pieces packed by one task in the first round
 LARGEST_GROUP = 8  # times that number in later rounds
 ROUNDS = 6
 FUNCTIONS = 64  # members of the second family that are tried
-CACHED_WORDS = 400_000  # distinct words, and runs, that a worker keeps; beyond it the cache starts again
+CACHED_WORDS = 400_000  # distinct runs, and other words, that a worker keeps; beyond it the cache starts again
+ENCODED_TEXTS = 500  # texts whose words are coded together
 
 
 # --- ids ------------------------------------------------------------------------------------------
@@ -40,14 +41,15 @@ CACHED_WORDS = 400_000  # distinct words, and runs, that a worker keeps; beyond
 class WordEncoder:
     """Ids of texts by the tokenizers library for a vocabulary whose words end at white space.
 
-    White space is dropped and no token spans it, so a text's ids are those of its words, each distinct one encoded once. Most words
-    are letters, with or without other signs behind them; these are two runs for the library's own splitter too, and letters that are lower-cased and
-    composed already skip its normaliser. All other words go through the library as they are, and so does a whole text that
-    holds a special token's string, as such a token may hold blanks.
+    White space is dropped and no token spans it, so a text's ids are those of its words. A batch's words are coded by Arrow and only distinct
+    ones looked at; most are letters, with or without other signs behind them. These are two runs for the library's own splitter too, each distinct one
+    encoded once, and letters that are lower-cased and composed already skip its normaliser. All other words go through the library as they are, and so does a
+    whole text that holds a special token's string, as such a token may hold blanks.
     """
 
     # Letters up to U+024F have no combining marks and lower-case one by one; an apostrophe may begin a run of its own.
-    PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+    LETTERS = "".join(c for c in map(chr, range(0x250)) if len(c.lower()) == 1 and re.fullmatch("[a-z\u00df-\u00f6\u00f8-\u024f]", c.lower()))
+    SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
 
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -58,55 +60,82 @@ class WordEncoder:
         self.kind, self.width = f"<u{width}", width
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
-        self.known: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {"": b""}
+        self._forget()
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _forget(self) -> None:
+        """Places of words and runs in the held ids; the empty one is the first and has none."""
+        self.known: dict[str, int] = {"": 0}
+        self.runs: dict[str, int] = {"": 0}
+        self.ids, self.starts, self.sizes = np.zeros(0, dtype=self.kind), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, each of ``width`` bytes."""
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        if len(self.runs) > CACHED_WORDS:
-            self.runs = {"": b""}
-        words = [None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(list(set().union(*[w for w in words if w is not None]).difference(self.known)))
-        find = self.known.__getitem__
-        return [self._bytes([t])[0] if some is None else b"".join(map(find, some)) for t, some in zip(texts, words)]
-
-    def _learn(self, new: list[str]) -> None:
-        cut, letters, signs, rest = [], [], [], []  # flat lists: a tuple for each word would keep the collector busy
-        for w in new:
-            s = w.lower()
-            m = self.PLAIN.fullmatch(s)
-            if m is None or len(s) != len(w):
-                rest.append(w)
-                continue
-            end = m.end(1)
-            cut.append(w)
-            letters.append(s[:end])
-            signs.append(s[end:])
-        self._learn_runs(list(set(letters).union(signs).difference(self.runs)))
-        find = self.runs.__getitem__
-        self.known.update(zip(cut, map(operator.add, map(find, letters), map(find, signs))))
-        for i in range(0, len(rest), 5000):
-            self.known.update(zip(rest[i : i + 5000], self._bytes(rest[i : i + 5000])))
+        if len(self.known) > CACHED_WORDS or len(self.runs) > CACHED_WORDS:
+            self._forget()
+        marked = [any(s in t for s in self.special) for t in texts]
+        lists = pc.split_pattern(pc.replace_substring(pa.array(["" if m else t for m, t in zip(marked, texts)], pa.string()), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        ids, starts, sizes = self._words(coded.dictionary)
+        codes = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])[lists.offsets.to_numpy()] * self.width
+        raw = _gathered(ids, starts[codes], sizes[codes]).tobytes()
+        out = [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        for i in np.flatnonzero(marked).tolist():
+            out[i] = np.array(self._encoded([texts[i]])[0], dtype=self.kind).tobytes()
+        return out
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words, and where those of each begin and how many they are."""
+        letters = pc.utf8_rtrim(words, characters=self.SIGNS)
+        cut = pc.and_(pc.equal(pc.utf8_ltrim(letters, characters=self.LETTERS), ""), pc.not_equal(letters, ""))
+        runs = [pc.utf8_lower(letters.filter(cut)).dictionary_encode(), pc.utf8_ltrim(words.filter(cut), characters=self.LETTERS).dictionary_encode()]
+        *distinct, rest = [a.to_numpy(zero_copy_only=False).tolist() for a in (runs[0].dictionary, runs[1].dictionary, words.filter(pc.invert(cut)))]  # to_pylist is slower
+        self._learn_runs(list(set().union(*distinct).difference(self.runs)))
+        new = [w for w in rest if w not in self.known]
+        for i in range(0, len(new), 5000):
+            self._hold(self.known, new[i : i + 5000], self._encoded(new[i : i + 5000]))
+        first, second = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)  # places of the word's letters and of its signs
+        cut = cut.to_numpy(zero_copy_only=False)
+        for places, run, some in zip((first, second), runs, distinct):
+            places[cut] = np.fromiter(map(self.runs.__getitem__, some), np.int64, len(some))[run.indices.to_numpy()]
+        first[~cut] = np.fromiter(map(self.known.__getitem__, rest), np.int64, len(rest))
+        both = np.stack([first, second], axis=1).ravel()
+        sizes = self.sizes[both].reshape(-1, 2).sum(axis=1)
+        return _gathered(self.ids, self.starts[both], self.sizes[both]), np.cumsum(sizes) - sizes, sizes
+
+    def _hold(self, places: dict[str, int], names: list[str], ids: list[list[int]]) -> None:
+        sizes = np.array([len(i) for i in ids], dtype=np.int64)
+        self._hold_flat(places, names, np.array([x for i in ids for x in i], dtype=self.kind), sizes)
+
+    def _hold_flat(self, places: dict[str, int], names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        places.update(zip(names, range(len(self.sizes), len(self.sizes) + len(names))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
 
     def _learn_runs(self, new: list[str]) -> None:
         """Many runs in one call, dealt back to them by the tokens that end a word; if these are not one for each run, by a call for each."""
-        for i in range(0, len(new), 4000):
-            some = new[i : i + 4000]
+        for i in range(0, len(new), 20_000):
+            some = new[i : i + 20_000]
             joined = [" ".join(some[k : k + 200]) for k in range(0, len(some), 200)]
             ids = np.array([x for e in self.plain.encode_batch_fast(joined, add_special_tokens=False) for x in e.ids], dtype=self.kind)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(some):
-                self.runs.update(zip(some, self._bytes(some)))
-                continue
-            raw, begin = ids.tobytes(), 0
-            for r, end in zip(some, (ends * self.width).tolist()):
-                self.runs[r] = raw[begin:end]
-                begin = end
+                self._hold(self.runs, some, self._encoded(some))
+            else:
+                self._hold_flat(self.runs, some, ids, np.diff(ends, prepend=0))
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` that begin at ``starts``, one after another; places are held for some of them at a time."""
+    parts = [ids[:0]]
+    for i in range(0, len(starts), 200_000):
+        at, n = starts[i : i + 200_000], sizes[i : i + 200_000]
+        ends = np.cumsum(n)
+        parts.append(ids[np.repeat(at - ends + n, n) + np.arange(ends[-1])])
+    return np.concatenate(parts)
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -146,8 +175,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, width: int, capacity
         key = TaskContext.get().partitionId() << 36
         step = capacity * width
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                some = batch.slice(i, 500)
+            for i in range(0, batch.num_rows, ENCODED_TEXTS):
+                some = batch.slice(i, ENCODED_TEXTS)
                 rows: list[tuple] = []
                 for doc_id, raw in zip(some.column("doc_id").to_pylist(), encoder.encode(some.column("text").to_pylist())):
                     raw += end

@@ -51,6 +51,17 @@ def test_odd_texts_have_the_librarys_ids(spark, tokenizer):
     check(spark, rows_of(ODD + ODD), tokenizer, 16)
 
 
+def test_distinct_runs_are_encoded_once_and_words_share_them(tokenizer):
+    encoder = packing.WordEncoder(packing._path("word_bpe_49k.json"), 2)
+    letters, signs = [f"{a}{b}xq" for a in "abcdefghij" for b in "klmnopqrstuvwxyz"], [".", ",", "!!", ");", ""]
+    texts = [" ".join(w + s for w in letters for s in signs), " ".join(w.upper() + s for s in signs for w in letters), *(t or "" for t in ODD)]
+    for _ in range(2):  # the second time nothing is new
+        assert [np.frombuffer(i, "<u2").tolist() for i in encoder.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(letters) <= set(encoder.runs) and len(encoder.runs) + len(encoder.known) < 300  # 2,400 words
+    encoder._forget()
+    assert encoder.encode(texts[2:]) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts[2:]]
+
+
 def test_cuts_ties_and_one_hot_id(spark, tokenizer):
     texts = ["word " * n for n in (0, 1, 15, 16, 17, 40, 40, 40, 500)]
     rows = rows_of(texts) + [(7, "word " * 5, None, None)] * 300 + [(None, "word", None, None)]
