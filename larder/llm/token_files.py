@@ -238,11 +238,11 @@ _SCHEMA = pa.schema([("part", pa.int32()), ("place", pa.int32()), ("local_start"
 
 
 def open_segments(spark, path: str) -> DataFrame:
-    """Segments with ``first_start``, the number of ids in all segments before; one count per partition meets in one task."""
+    """Segments with ``first_start``, the number of ids in all segments before; one count per partition meets in one task and goes to all, segments stay where they lie."""
     segments = spark.read.schema(SEGMENTS).parquet(path)
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     parts = segments.groupBy(F.col("part").alias("_p")).agg(F.sum("n_ids").alias("_n")).select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return segments.join(parts, F.col("part") == F.col("_p")).select("part", "place", (F.col("_before") + F.col("local_start")).alias("first_start"), "doc_ids", "payload")
+    return segments.join(F.broadcast(parts), F.col("part") == F.col("_p")).select("part", "place", (F.col("_before") + F.col("local_start")).alias("first_start"), "doc_ids", "payload")
 
 
 def read_documents(spark, path: str) -> DataFrame:

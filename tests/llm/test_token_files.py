@@ -57,3 +57,16 @@ def test_files_against_brute_force(spark, tokenizer):
 def test_empty_table(spark):
     path = token_files.write_segments(spark.createDataFrame([], "doc_id long, text string"))
     assert token_files.read_documents(spark, path).count() == 0
+
+
+def test_segments_stay_where_they_lie_when_read(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(4)
+    path = token_files.write_segments(docs, segment_ids=50)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = token_files.open_segments(spark, path)
+        assert "SortMergeJoin" not in read._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["first_start"] for r in read.collect())[0] == 0 and token_files.read_documents(spark, path).count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
