@@ -4,10 +4,10 @@ A page is parsed into blocks. Menus, headers, footers, sidebars, adverts, forms
 roles and class names and go. Blocks inside an article (or, without one, the main element) are vouched for; a page
 without either has open blocks.
 
-Pages of a host are dealt into shards by a hash, so a shard is a random sample of its host, and their token streams are
-concatenated, with an end mark for each page. Prefix doubling ranks all suffixes by their first ``RUN`` tokens: the suffix array
+Pages of a host are dealt into shards by a hash, and the token streams of a shard are concatenated, with an end mark for each page. Prefix doubling ranks all suffixes by their first ``RUN`` tokens: the suffix array
 cut at that depth, in which suffixes of equal rank stand side by side. Copies, which are pages with equal blocks, are one stream,
-so no copy takes away another's text. A run that a share of the distinct contents hold is repeated. Open blocks lose their repeated runs and keep the unique ones (all of the block, if half of it or more is unique). A block that is vouched for goes only if
+so no copy takes away another's text. A run that a share of the host's distinct contents hold is repeated. Where a host has several shards, each content counts in the shard of one of its
+pages; a run that reaches the share in the host reaches it in a shard, so the runs that do are counted in all shards, and their sums are exact. Open blocks lose their repeated runs and keep the unique ones (all of the block, if half of it or more is unique). A block that is vouched for goes only if
 all of it is repeated on nearly every page: a passage that some pages share is text.
 """
 
@@ -16,17 +16,20 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import filled, lower_ascii, stored
 
 RUN = 8  # tokens of the shortest repeated run, a power of two
 SHARD_PAGES, SHARD_BYTES = 200, 4_000_000
+LEAST_PAGES = 40  # of a shard on average, however long they are: in smaller ones any run reaches the share
+FEW_CONTENTS = 20  # distinct contents to a shard of a host, on average; below it every run is counted at once
 BROADCAST_HOSTS = 100_000  # names and numbers: some ten MB
 OPEN_SHARE, OPEN_PAGES = 0.1, 3  # share and least number of distinct contents that make a run of open blocks boilerplate
 VOUCHED_SHARE, VOUCHED_PAGES = 0.9, 50  # and of vouched blocks
@@ -144,19 +147,31 @@ def blocks(page: str | None) -> tuple[list[str], bool]:
     return found[0], False
 
 
-def repeated(streams: list[list[str]], run: int = RUN) -> list[np.ndarray]:
-    """For each token of each stream, the number of distinct streams that hold the most common run covering it (0: none of ``run`` tokens).
-
-    All suffixes are ranked by prefix doubling up to their first ``run`` tokens.
-    """
+def _laid(streams: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens one after another: codes, vocabulary, stream, place in it, and tokens to its end."""
     sizes = np.array([len(s) for s in streams])
-    if not sizes.sum():
-        return [np.zeros(n, dtype=np.int64) for n in sizes]
     codes, vocabulary = pd.factorize(np.array([t for s in streams for t in s], dtype=object))
-    owner = np.repeat(np.arange(len(streams)), sizes)
     place = np.concatenate([np.arange(n) for n in sizes])
+    return codes, vocabulary, np.repeat(np.arange(len(streams)), sizes), place, np.repeat(sizes, sizes) - place
+
+
+def _covered(counts: np.ndarray, place: np.ndarray, run: int) -> np.ndarray:
+    """For each token the largest count of the runs that begin up to run - 1 before it in its stream."""
+    covered = counts.copy()
+    for k in range(1, run):
+        moved = np.zeros_like(counts)
+        moved[k:] = counts[:-k]
+        moved[place < k] = 0
+        covered = np.maximum(covered, moved)
+    return covered
+
+
+def _run_counts(codes: np.ndarray, owner: np.ndarray, left: np.ndarray, run: int) -> np.ndarray:
+    """For each token the number of distinct streams that hold the run which begins there (0: none of ``run`` tokens).
+
+    All suffixes are ranked by prefix doubling up to their first ``run`` tokens.
+    """
     rank, width = codes.astype(np.int64), 1
-    left = np.repeat(sizes, sizes) - place  # tokens to the end of the stream
     while width < run:
         after = np.full(len(rank), -1, dtype=np.int64)
         after[:-width] = rank[width:]
@@ -172,37 +187,50 @@ def repeated(streams: list[list[str]], run: int = RUN) -> list[np.ndarray]:
     counts = np.zeros(len(rank), dtype=np.int64)
     if len(r):
         counts[order] = pages_of[np.cumsum(new_rank) - 1].astype(np.int64)
-    covered = counts.copy()
-    for k in range(1, run):  # a token is covered by the runs that begin up to run - 1 before it on its page
-        moved = np.zeros_like(counts)
-        moved[k:] = counts[:-k]
-        moved[place < k] = 0
-        covered = np.maximum(covered, moved)
-    return np.split(covered, np.cumsum(sizes)[:-1])
+    return counts
+
+
+def repeated(streams: list[list[str]], run: int = RUN) -> list[np.ndarray]:
+    """For each token of each stream, the number of distinct streams that hold the most common run covering it (0: none of ``run`` tokens)."""
+    sizes = np.array([len(s) for s in streams])
+    if not sizes.sum():
+        return [np.zeros(n, dtype=np.int64) for n in sizes]
+    codes, _, owner, place, left = _laid(streams)
+    return np.split(_covered(_run_counts(codes, owner, left, run), place, run), np.cumsum(sizes)[:-1])
+
+
+def _tokens(page) -> list[str]:
+    return [w for b in page for w in (*b.split(" "), "\n")]  # block ends are tokens, so runs may span short blocks
+
+
+def _limits(contents: int) -> tuple[int, int]:
+    """The least numbers of a host's distinct contents that make a run of open and of vouched blocks boilerplate."""
+    return max(OPEN_PAGES, int(np.ceil(OPEN_SHARE * contents))), max(VOUCHED_PAGES, int(np.ceil(VOUCHED_SHARE * contents)))
+
+
+def _without(page, cover: np.ndarray, safe: bool, some: int, most: int) -> str:
+    """The page's text without the boilerplate."""
+    kept, at = [], 0
+    for block in page:
+        words = block.split(" ")
+        here = cover[at : at + len(words)]
+        at += len(words) + 1
+        if safe:
+            if here.min() < most:
+                kept.append(block)
+        else:
+            left = [w for w, n in zip(words, here) if n < some]
+            if left:  # a block that is mostly unique stays whole
+                kept.append(block if 2 * len(left) >= len(words) else " ".join(left))
+    return "\n".join(kept)
 
 
 def unique_text(pages: list[list[str]], vouched: list[bool]) -> list[str]:
-    """The text of each page of a shard: its blocks without what is boilerplate among the shard's distinct contents."""
+    """The text of each page of a host: its blocks without what is boilerplate among the distinct contents."""
     contents = list(dict.fromkeys(map(tuple, pages)))
-    marked = [[w for b in page for w in (*b.split(" "), "\n")] for page in contents]  # block ends are tokens, so runs may span short blocks
-    covers = dict(zip(contents, repeated(marked)))
-    some, most = (max(least, int(np.ceil(share * len(contents)))) for share, least in ((OPEN_SHARE, OPEN_PAGES), (VOUCHED_SHARE, VOUCHED_PAGES)))
-    out = []
-    for page, safe in zip(pages, vouched):
-        cover, kept, at = covers[tuple(page)], [], 0
-        for block in page:
-            words = block.split(" ")
-            here = cover[at : at + len(words)]
-            at += len(words) + 1
-            if safe:
-                if here.min() < most:
-                    kept.append(block)
-            else:
-                left = [w for w, n in zip(words, here) if n < some]
-                if left:  # a block that is mostly unique stays whole
-                    kept.append(block if 2 * len(left) >= len(words) else " ".join(left))
-        out.append("\n".join(kept))
-    return out
+    covers = dict(zip(contents, repeated([_tokens(page) for page in contents])))
+    some, most = _limits(len(contents))
+    return [_without(page, covers[tuple(page)], safe, some, most) for page, safe in zip(pages, vouched)]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -213,12 +241,45 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     rows = pages.select("page_id", "url", "html").withColumn("host", lower_ascii(F.regexp_extract(filled("url"), r"://([^/?#]*)", 1)))
     sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length("html")).alias("_b"))
-    shards = sizes.select(F.col("host").alias("_h"), F.greatest(F.ceil(F.col("_n") / SHARD_PAGES), F.ceil(F.coalesce("_b", F.lit(0)) / SHARD_BYTES)).cast("long").alias("shards")).where(F.col("shards") > 1)
+    by_bytes = F.least(F.ceil(F.coalesce("_b", F.lit(0)) / SHARD_BYTES), F.ceil(F.col("_n") / LEAST_PAGES))
+    shards = sizes.select(F.col("host").alias("_h"), F.greatest(F.ceil(F.col("_n") / SHARD_PAGES), by_bytes).cast("long").alias("shards")).where(F.col("shards") > 1)
     shards = stored(shards, "host-shards")  # the hosts of more than one shard
-    shards = F.broadcast(shards) if shards.count() <= BROADCAST_HOSTS else shards
+    several = shards.count()
+    shards = F.broadcast(shards) if several <= BROADCAST_HOSTS else shards
     parsed = rows.select("page_id", "url", "host", "html").mapInArrow(_parse, "page_id long, url string, host string, blocks array<string>, vouched boolean")
-    dealt = parsed.join(shards, F.col("host") == F.col("_h"), "left").withColumn("shard", F.pmod(F.xxhash64("page_id"), F.coalesce("shards", F.lit(1)))).drop("_h", "shards").repartition("host", "shard")  # else a join by host would leave a host in one task
-    return dealt.groupBy("host", "shard").applyInPandas(_shard, "page_id long, url string, text string, n_chars long")
+    dealt = parsed.join(shards, F.col("host") == F.col("_h"), "left").withColumn("shard", F.pmod(F.xxhash64("page_id"), F.coalesce("shards", F.lit(1)))).withColumn("content", F.xxhash64("blocks")).drop("_h")
+    groups = dealt.drop("shards").repartition("host", "shard").groupBy("host", "shard")  # else a join by host would leave a host in one task
+    if not several:
+        return groups.applyInPandas(_shard, RESULT)
+    # Contents as keys alone: a page counts by one of its contents (rows of a page_id may differ), a content in the shard of one of its pages.
+    keys = dealt.where(F.col("shards") > 1).select("host", "shards", "shard", "page_id", "content").distinct()
+    keys = stored(keys.withColumn("one", F.min("content").over(Window.partitionBy("host", "shard", "page_id"))), "host-contents")
+    homes = keys.where(F.col("content") == F.col("one")).groupBy("host", "shards", "content").agg(F.min("shard").alias("shard"), F.count(F.lit(1)).alias("n"))
+    hosts = homes.groupBy("host", "shards").agg(F.count(F.lit(1)).alias("total"))
+    odd = keys.withColumn("odd", F.max((F.col("content") != F.col("one")).cast("int")).over(Window.partitionBy("host", "shard", "page_id"))).where("odd = 1")
+    odd = odd.select("host", "shard", "content").distinct().join(homes.select("host", "content", "n"), ["host", "content"], "left")  # contents of such pages, and of how many pages each is the one
+    hosts = F.broadcast(hosts) if several <= BROADCAST_HOSTS else hosts
+
+    def everywhere(rows: DataFrame) -> DataFrame:
+        """The rows for each shard of their host."""
+        return rows.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
+
+    def small(*parts: DataFrame):
+        """Rows for the shards: a content, a run or the host's number of contents each; no nulls, which would make doubles of them."""
+        names = ("content", "run", "total", "shards", "n")
+        alike = [p.select("host", "shard", *[(F.coalesce(c, F.lit(0)) if c in p.columns else F.lit(0)).cast("long").alias(c) for c in names], *[F.lit(c in p.columns).alias(f"is_{c}") for c in names[:2]]) for p in parts]
+        return reduce(DataFrame.unionByName, alike).groupBy("host", "shard")
+
+    homes = homes.drop("n", "shards")
+    found = groups.cogroup(small(homes, everywhere(hosts))).applyInPandas(_local_runs, "host string, run long")
+    wanted = found.distinct().join(hosts.select("host", "shards"), "host")
+    counted = groups.cogroup(small(homes, everywhere(hosts), everywhere(wanted))).applyInPandas(_count_runs, "host string, run long, n long")
+    counts = counted.groupBy("host", "run").agg(F.sum("n").alias("n")).join(hosts, "host")
+    common = counts.where(F.col("n") >= F.greatest(F.lit(OPEN_PAGES), F.ceil(F.lit(OPEN_SHARE) * (F.col("total") - 1))) - 1).select("host", "shards", "run", "n")
+    return groups.cogroup(small(everywhere(hosts), odd, everywhere(common))).applyInPandas(_cut, RESULT)
+
+
+RESULT = "page_id long, url string, text string, n_chars long"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,6 +293,87 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _hashes(codes: np.ndarray, vocabulary: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the run that begins at each token (0: none of ``RUN`` tokens), the same in every shard."""
+    tokens = pd.util.hash_array(np.asarray(vocabulary, dtype=object), categorize=False)[codes]
+    out = np.zeros(len(codes), dtype=np.uint64)
+    for k in range(RUN):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out[: len(out) - k] += tokens[k:]
+    out[left < RUN] = 0
+    return out.view(np.int64)
+
+
+def _home_streams(pages: pd.DataFrame, rows: pd.DataFrame) -> list[list[str]]:
+    """The contents that count in this shard."""
+    here = pages[pages["content"].isin(rows["content"][rows["is_content"]])].drop_duplicates("content")
+    return [_tokens(b) for b in here["blocks"] if len(b)]
+
+
+def _few(rows: pd.DataFrame) -> bool:
+    return rows["total"].max() < FEW_CONTENTS * rows["shards"].max()
+
+
+def _local_runs(key: tuple, pages: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """The runs that reach the share in this shard; none for a host of few contents."""
+    streams = _home_streams(pages, rows) if len(pages) and len(rows) and not _few(rows) else []
+    if not streams:
+        return pd.DataFrame({"host": pd.Series([], dtype=object), "run": pd.Series([], dtype="int64")})
+    n_here, total = int(rows["is_content"].sum()), int(rows["total"].max())
+    codes, vocabulary, owner, _, left = _laid(streams)
+    # One less of one content less, as a page of differing rows may count by another of them.
+    least = max(1, -(-(_limits(total - 1)[0] - 1) * n_here // total))
+    runs = _hashes(codes, vocabulary, left)[_run_counts(codes, owner, left, RUN) >= least]
+    return pd.DataFrame({"host": key[0], "run": np.unique(runs)})
+
+
+def _count_runs(key: tuple, pages: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """How many of this shard's contents hold each wanted run; in a host of few contents each run."""
+    wanted, few = rows["run"][rows["is_run"]].to_numpy(), len(rows) > 0 and _few(rows)
+    streams = _home_streams(pages, rows) if len(pages) and (few or len(wanted)) else []
+    if not streams:
+        return pd.DataFrame({"host": pd.Series([], dtype=object), "run": pd.Series([], dtype="int64"), "n": pd.Series([], dtype="int64")})
+    codes, vocabulary, owner, _, left = _laid(streams)
+    runs = _hashes(codes, vocabulary, left)
+    here = left >= RUN if few else (left >= RUN) & np.isin(runs, wanted)
+    pairs = pd.DataFrame({"owner": owner[here], "run": runs[here]}).drop_duplicates()
+    counts = pairs["run"].value_counts()
+    return pd.DataFrame({"host": key[0], "run": counts.index.to_numpy(dtype="int64"), "n": counts.to_numpy(dtype="int64")})
+
+
+def _cut(pages: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """The text of each row by the host's counts of runs; hosts of one shard are counted here."""
+    if rows.empty or pages.empty:
+        return _shard(pages)
+    pages, total = pages.reset_index(drop=True), int(rows["total"].max())
+    common = rows[rows["is_run"]].sort_values("run")
+    runs, numbers = common["run"].to_numpy(), common["n"].to_numpy()
+    odd = rows[rows["is_content"]]
+    pages_of = dict(zip(odd["content"], odd["n"]))
+    one = pages.groupby("page_id", dropna=False)["content"].transform("min")
+    distinct = pages.drop_duplicates("content")
+    laid = {c: _laid([_tokens(b)]) for c, b in zip(distinct["content"], distinct["blocks"]) if len(b)}
+    hashes = {c: _hashes(codes, vocabulary, left) for c, (codes, vocabulary, _, _, left) in laid.items()}
+    done: dict[tuple, str] = {}
+    texts = []
+    for content, its, safe, b in zip(pages["content"], one, pages["vouched"], pages["blocks"]):
+        if not len(b):
+            texts.append("")
+            continue
+        if (content, its, safe) not in done:
+            (_, _, _, place, left), here = laid[content], hashes[content]
+            at = np.minimum(np.searchsorted(runs, here), max(len(runs) - 1, 0))
+            counts = np.where((runs[at] == here) & (left >= RUN), numbers[at], 0) if len(runs) else np.zeros(len(here), dtype=np.int64)
+            contents = total
+            if content != its:  # this row stands for its page: its content comes in, and the page's own goes unless others have it
+                comes, goes = not pages_of[content], pages_of[its] == 1
+                contents += comes - goes
+                counts = np.where(left >= RUN, counts + comes - (goes & np.isin(here, hashes.get(its, []))), 0)
+            done[content, its, safe] = _without(b, _covered(counts, place, RUN), safe, *_limits(contents))
+        texts.append(done[content, its, safe])
+    return pd.DataFrame({"page_id": pages["page_id"], "url": pages["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+
+
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.reset_index(drop=True)
     first = pdf.drop_duplicates("page_id") if pdf["page_id"].duplicated().any() else pdf

@@ -96,3 +96,28 @@ def test_copies_over_many_shards(spark):
     rows = [(i, f"http://h.example/?page={i}", wrap.format(body)) for k, wrap in enumerate(("{}", "<article>{}</article>")) for i in range(k * 1000, k * 1000 + 1000)]
     got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert len(got) == 2000 and {r["text"] for r in got} == {"Said on one page that has very many copies in the host"}
+
+
+def test_runs_are_counted_over_all_shards_of_a_host(spark):
+    """Shares at their edge, copies in many shards, and rows of one page that differ, against the whole host as one shard."""
+    r, footer = random.Random(7), "This footer stands on some of the pages of the host and goes there"
+    own = lambda i: f"<div>Own words of page {i} " + " ".join(f"w{i}x{j}" for j in range(20)) + "</div>"
+    rows = [("exact.x", i, own(i) + (f"<div>{footer}</div>" if i < 70 else "")) for i in range(700)]  # just a tenth
+    rows += [("under.x", 1000 + i, own(i) + (f"<div>{footer}</div>" if i < 69 else "")) for i in range(700)]
+    rows += [("copies.x", 2000 + i, own(i // 20) + (f"<div>{footer}</div>" if i < 60 else "")) for i in range(600)]  # 30 contents, three with it
+    rows += [("twice.x", 3000 + i, own(i) + (f"<div>{footer}</div>" if i < 49 else "")) for i in range(500)]
+    rows += [("twice.x", 3000 + i, own(i + k) + f"<div>{footer}</div>") for i, k in ((60, 9000), (61, 0), (0, 9001), (62, 3), (63, 1))]
+    r.shuffle(rows)
+    got = extraction.extract(spark.createDataFrame([(i, f"http://{h}/{i}", t) for h, i, t in rows], "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    texts = {(g["page_id"], g["text"]) for g in got}
+    assert not any(footer in t for i, t in texts if i < 700) and sum(footer in t for i, t in texts if 1000 <= i < 1700) == 69
+    assert not any(footer in t for i, t in texts if 2000 <= i < 2600)
+    want = set()
+    pages = [(i, blocks(t)[0]) for h, i, t in rows if h == "twice.x"]
+    frame = spark.createDataFrame(pages, "page_id long, blocks array<string>").selectExpr("*", "xxhash64(blocks) AS content").toPandas().sort_values("content")
+    one = {i: list(b) for i, b in frame.drop_duplicates("page_id")[["page_id", "blocks"]].itertuples(index=False)}
+    for i, b in pages:
+        others = [o for j, o in one.items() if j != i]
+        want.add((i, unique_text([b, *others], [False] * (1 + len(others)))[0]))
+    assert {t for t in texts if t[0] >= 3000} == want
