@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larder import fixed
 from larder.functions import text as tx
+from larder.functions.vector import sparse_hashed_embedder
 from larder.operators import recommend
 from larder.plans import views as v
 from larder.plans.registry import Tables, query
@@ -48,9 +49,9 @@ def _by_slices(t: Tables, run) -> None:
         run(asked.select(F.col("event_id").alias("query_id"), "ts", tx.ingredient_request("names").alias("text"))).awaitTermination()
 
 
-def _item_index(t: Tables):
+def _item_index(t: Tables, embedder):
     items = save_table(v.items(t), fresh_path(t.spark, "items"))
-    return save_table(recommend.build_index(items, keep=[]), fresh_path(t.spark, "index")), items
+    return save_table(recommend.build_index(items, embedder=embedder, keep=[]), fresh_path(t.spark, "index")), items
 
 
 def _result(replies, *more: str):
@@ -61,16 +62,18 @@ def _result(replies, *more: str):
 @query("stm01_answer_stream", STREAM_SQL)
 def _(t: Tables):
     """A request is answered once a day."""
-    index, items = _item_index(t)
+    embedder = sparse_hashed_embedder()  # every batch reads the whole index: it holds the slots in use
+    index, items = _item_index(t, embedder)
     out, state = fresh_path(t.spark, "answers"), fresh_path(t.spark, "stream-state")
-    _by_slices(t, lambda asked: rq.answer_stream(rq.distinct_requests(asked), index, items, out, state, available_now=True))
+    _by_slices(t, lambda asked: rq.answer_stream(rq.distinct_requests(asked), index, items, out, state, available_now=True, embedder=embedder))
     return _result(rq.read_answers(t.spark, out))
 
 
 @query("stm01_reply_stream", REPLIES_SQL)
 def _(t: Tables):
     """Every request gets a reply; a text's repeats within a day get the answer of the first, marked as cached."""
-    index, items = _item_index(t)
+    embedder = sparse_hashed_embedder()  # every batch reads the whole index: it holds the slots in use
+    index, items = _item_index(t, embedder)
     out, state = fresh_path(t.spark, "replies"), fresh_path(t.spark, "stream-state")
-    _by_slices(t, lambda asked: rq.reply_stream(rq.marked_requests(asked), index, items, out, state, available_now=True))
+    _by_slices(t, lambda asked: rq.reply_stream(rq.marked_requests(asked), index, items, out, state, available_now=True, embedder=embedder))
     return _result(rq.read_replies(t.spark, out), "query_id", "cached")

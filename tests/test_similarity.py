@@ -310,3 +310,13 @@ def test_sparse_vectors_are_scored_by_shared_slots(monkeypatch, own):
     made.clear()
     similarity.Best(requests, 4).offer(sparse_table(rows, "item_id"))
     assert sum(made) < 600
+
+
+def test_the_sparse_embedder_gives_the_vectors_of_the_dense_one(spark):
+    from larder.functions.vector import hashed_embedder, sparse_hashed_embedder
+
+    texts = [None, "", "a b", "gin gin rum", "Été İß ΣΑΣ 中文 gin", "x\x1cyy zz\n" * 700, " ".join(f"w{i}" for i in range(3000))]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 200)], "id long, text string")
+    both = rows.select(hashed_embedder()("text").alias("dense"), sparse_hashed_embedder()("text").alias("sparse")).collect()
+    for r in both:
+        assert r.sparse.slots == [i for i, x in enumerate(r.dense) if x] and r.sparse.weights == [x for x in r.dense if x]

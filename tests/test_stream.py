@@ -123,3 +123,34 @@ def test_repeats_are_answered_from_the_first(spark, folder, index, corpus):  # n
         assert got[5].status == "empty"
     assert {i: (r.status, r.max_similarity) for i, r in one.items()} == {i: (r.status, r.max_similarity) for i, r in many.items()}
     assert many[2].batch_id == many[1].batch_id > many[0].batch_id
+
+
+def test_a_text_of_many_windows_is_searched_once(spark, folder, index, corpus, monkeypatch):  # noqa: F811
+    asked = []
+
+    def counted(requests, *given, **options):
+        asked.append(sorted(r.text for r in requests.collect()))
+        return answers.answer(requests, *given, **options)
+
+    monkeypatch.setattr(rq, "answer", counted)
+    days = [(i, 1440 * (i // 2) + i % 2, ("gin", "rum")[i // 2 % 2]) for i in range(8)]  # one of the two on each of four days, twice
+    drop(spark, folder, "in1", [*days, (8, 5, "rum")])
+    got = replies(spark, folder, index, corpus)
+    assert asked == [["gin", "rum"]]
+    assert [got[i].cached for i in range(9)] == [False, True] * 4 + [False]
+    assert [[r.name for r in got[i].retrieved] for i in range(4)] == [["Gimlet", "Martini", "Daiquiri"]] * 2 + [["Daiquiri", "Gimlet", "Martini"]] * 2
+
+
+def test_the_stream_index_holds_only_slots_in_use(spark):
+    from larder.functions.vector import sparse_hashed_embedder
+    from larder.plans.registry import Tables
+    from larder.plans.streams import _item_index
+    from larder.operators import recommend
+
+    stored, items = _item_index(Tables(spark, str(TESTDATA / "sf0.001")), sparse_hashed_embedder())
+    dense = recommend.build_index(items, keep=[])
+    assert stored.where(F.size("embedding.slots") > 100).isEmpty()
+    pairs = [(0, "cocktail avec large ring"), (1, "zzzz"), (2, "x"), (3, "5-LOW und 7ml blue gear"), (4, "ÉTÉ gear İ")]
+    requests = spark.createDataFrame(pairs, "query_id long, text string")
+    sparse = recommend.by_text(requests, stored, 7, embedder=sparse_hashed_embedder()).orderBy("query_id", "rank")
+    assert sparse.collect() == recommend.by_text(requests, dense, 7).select(sparse.columns).orderBy("query_id", "rank").collect()
