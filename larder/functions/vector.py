@@ -72,13 +72,48 @@ def _text_pieces(texts: pa.Array) -> Iterator[pa.Array]:
         start = stop
 
 
+# An ASCII byte of a word in lower case; 0 between words.
+ASCII_WORD = np.array([ord(chr(c).lower()) if c < 128 and re.match(r"\w", chr(c)) else 0 for c in range(256)], np.uint8)
+
+
+def _ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array] | None:
+    """Row and bytes of each word of a character or more, in order; None if a text has characters beyond ASCII."""
+    texts = pc.cast(texts, pa.string()).fill_null("")
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    given = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    if given.max(initial=0) > 127:
+        return None
+    starts, code = ends[:-1] - ends[0], ASCII_WORD[given]
+    inside = code > 0
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    own = starts[starts < len(code)]
+    begin[own] = inside[own]  # no word goes on in the next text
+    letters = code[inside]
+    bounds = np.append(np.flatnonzero(begin[inside]), len(letters)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
+    return np.searchsorted(starts, np.flatnonzero(begin), "right") - 1, words
+
+
 def _word_slots(texts: pa.Array, dim: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each piece of a batch its number of texts, and ``text * dim + slot`` of each word."""
+    """For each piece of a batch its number of texts, and ``text * dim + slot`` of each word.
+
+    Words of ASCII texts are cut and coded by Arrow, so that only a piece's distinct words become strings.
+    """
     word, slots = re.compile(r"\w\w+"), _slots(dim)
     for piece in _text_pieces(texts):
-        found = [[slots[w] for w in word.findall((text or "").lower())] for text in piece.to_pylist()]
-        row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-        yield len(found), row * dim + np.fromiter(chain.from_iterable(found), np.int64, len(row))
+        plain = _ascii_words(piece)
+        if plain is not None:
+            row, words = plain
+            coded = words.dictionary_encode()
+            slot = np.array([slots[w.decode()] if len(w) > 1 else -1 for w in coded.dictionary.to_pylist()], np.int64)
+            slot = slot[coded.indices.to_numpy()]
+            row, flat = row[slot >= 0], slot[slot >= 0]
+        else:
+            found = [[slots[w] for w in word.findall((text or "").lower())] for text in piece.to_pylist()]
+            row = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            flat = np.fromiter(chain.from_iterable(found), np.int64, len(row))
+        yield len(piece), row * dim + flat
 
 
 def hashed_embedder(dim: int = fixed.EMBEDDING_DIM):

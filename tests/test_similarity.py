@@ -320,3 +320,23 @@ def test_the_sparse_embedder_gives_the_vectors_of_the_dense_one(spark):
     both = rows.select(hashed_embedder()("text").alias("dense"), sparse_hashed_embedder()("text").alias("sparse")).collect()
     for r in both:
         assert r.sparse.slots == [i for i, x in enumerate(r.dense) if x] and r.sparse.weights == [x for x in r.dense if x]
+
+
+def test_words_of_ascii_texts_are_those_of_the_pattern():
+    import random
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+    from larder.functions import vector
+
+    draw = random.Random(1)
+    plain = [None, "", "a", "AB_1"] + ["".join(draw.choice("aB1_ .,\n\x1c\x00-") for _ in range(draw.randint(0, 30))) for _ in range(1500)] + ["", None]
+    for texts in (plain, [None], [""], [], [t for t in plain if t] + ["Été gin"]):
+        given = pa.array(["x y", *texts, "zz"], pa.string()).slice(1, len(texts))
+        base, got = 0, []
+        for rows, spot in vector._word_slots(given, 384):
+            got += (spot + base * 384).tolist()
+            base += rows
+        words = [(i, w) for i, t in enumerate(texts) for w in re.findall(r"\w\w+", (t or "").lower())]
+        assert base == len(texts) and got == [i * 384 + vector._slots(384)[w] for i, w in words]
