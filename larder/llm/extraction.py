@@ -299,7 +299,7 @@ def _hashes(codes: np.ndarray, vocabulary: np.ndarray, left: np.ndarray) -> np.n
     out = np.zeros(len(codes), dtype=np.uint64)
     for k in range(RUN):
         out *= np.uint64(0x9E3779B97F4A7C15)
-        out[: len(out) - k] += tokens[k:]
+        out[: max(len(out) - k, 0)] += tokens[k:]  # fewer tokens than a run hold none
     out[left < RUN] = 0
     return out.view(np.int64)
 

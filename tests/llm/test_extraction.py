@@ -121,3 +121,15 @@ def test_runs_are_counted_over_all_shards_of_a_host(spark):
         others = [o for j, o in one.items() if j != i]
         want.add((i, unique_text([b, *others], [False] * (1 + len(others)))[0]))
     assert {t for t in texts if t[0] >= 3000} == want
+
+
+def test_short_pages_of_a_host_of_many_shards(spark):
+    """Contents of fewer tokens than a run hold no run; they keep their text."""
+    long = "<div>Own words of page {0} " + " ".join(f"w{{0}}x{j}" for j in range(20)) + "</div>"
+    rows = [(i, f"http://h.example/{i}", long.format(i)) for i in range(500)]
+    short = {1000 + n: " ".join(f"s{j}" for j in range(n)) for n in range(1, 9)}
+    rows += [(i, f"http://h.example/{i}", f"<div>{text}</div>") for i, text in short.items()]
+    rows += [(2000, "http://h.example/2000", "<article><p>Two words.</p><p>Two words.</p></article>")]
+    got = {r["page_id"]: r["text"] for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and got[2000] == "Two words.\nTwo words."
+    assert {i: got[i] for i in short} == short and got[7].startswith("Own words of page 7 w7x0")
