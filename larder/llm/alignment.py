@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 from larder.llm.common import filled, stored
 
 BLOCK_CHARS = 4_000_000  # of text; a longer document is a block of its own
-CACHED_WORDS = 400_000  # distinct words a worker keeps; beyond it the cache starts again
-EXPANDED = 4_000_000  # entries of one run of a product before equal ones are added up
+CACHED_WORDS, CACHED_CHARS = 240_000, 8_000_000  # of distinct words a worker keeps; beyond it only those that several blocks held stay
+LEARNED_WORDS, LEARNED_CHARS = 8_000, 1_000_000  # of new words at a time; a longer word is learned by itself
+EXPANDED = 500_000  # entries of one run of a product before equal ones are added up
+FILE_BLOCKS = 8  # a file's blocks are read at once
 _BLANK, _PAIR = "▁", 32
 
 
@@ -180,8 +183,48 @@ class Words:
         self.text: list[str] = []
         self.counts = np.zeros((0, 6), np.int64)  # n_a, n_b, n_groups, n_links, n_group_links, whether the bytes are equal
         self.pairs = Csr.of([0], [], 0)  # columns are id pairs: a << 32 | b
-
-    def learn(self, new: list[str]) -> None:
+        self.uses = np.zeros(0, np.int64)  # blocks that held the word
+        self.chars = 0
+
+    def shrink(self) -> None:
+        """Forget the words of one block alone, and the rarer of the others beyond half of the bounds."""
+        often = np.flatnonzero(self.uses > 1)
+        often = often[np.argsort(-self.uses[often], kind="stable")]
+        words = list(self.place)  # by place
+        chars = np.cumsum([len(words[i]) + len(self.text[i]) for i in often.tolist()])
+        kept = np.sort(often[: min(CACHED_WORDS // 2, int(np.searchsorted(chars, CACHED_CHARS // 2, "right")))])
+        sizes = np.diff(self.pairs.starts)[kept]
+        spots = np.repeat(self.pairs.starts[kept] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        self.pairs = Csr.of(np.concatenate([[0], np.cumsum(sizes)]), self.pairs.columns[spots], 0, self.pairs.values[spots])
+        self.place = {words[i]: at for at, i in enumerate(kept.tolist())}
+        self.text = [self.text[i] for i in kept.tolist()]
+        self.counts, self.uses = self.counts[kept], np.ones(len(kept), np.int64)
+        self.chars = sum(map(len, self.place)) + sum(map(len, self.text))
+
+    def learn_all(self, new: list[str]) -> None:
+        """Learn words in bounded runs, and join what is known once."""
+        counts, starts, columns, values = [self.counts], [self.pairs.starts], [self.pairs.columns], [self.pairs.values]
+        first = size = 0
+        for i, word in enumerate(new):
+            if i > first and (i - first >= LEARNED_WORDS or size + len(word) > LEARNED_CHARS):
+                self._learned(new[first:i], counts, starts, columns, values)
+                first, size = i, 0
+            size += len(word)
+        if first < len(new):
+            self._learned(new[first:], counts, starts, columns, values)
+        self.counts = np.concatenate(counts)
+        self.pairs = Csr.of(np.concatenate(starts), np.concatenate(columns), 0, np.concatenate(values))
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+
+    def _learned(self, new: list[str], counts: list, starts: list, columns: list, values: list) -> None:
+        found, pairs = self.learn(new)
+        counts.append(found)
+        starts.append(starts[-1][-1] + pairs.starts[1:])
+        columns.append(pairs.columns)
+        values.append(pairs.values)
+
+    def learn(self, new: list[str]) -> tuple[np.ndarray, Csr]:
+        """Counts and id pairs of some new words; their places and groups are kept."""
         spaced = [" " + w for w in new]
         ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         ids_b = self.b.encode(new, num_threads=1)
@@ -197,7 +240,9 @@ class Words:
         in_groups = np.concatenate([[0], np.cumsum(per_token)])
         cut_links = links.starts[cut_a]
         columns = [np.diff(cut_a), np.diff(cut_b), np.diff(cut_groups), np.diff(cut_links), np.diff(in_groups[cut_a]), np.array(whole, np.int64)]
-        self.text.extend(self._groups(found, flat_a, flat_b, cut_groups))
+        texts = self._groups(found, flat_a, flat_b, cut_groups)
+        self.text.extend(texts)
+        self.chars += sum(map(len, new)) + sum(map(len, texts))
         pair = (flat_a[links.rows()] << _PAIR) | flat_b[links.columns]
         owner = np.repeat(np.arange(len(new)), np.diff(cut_links))
         order = np.lexsort((pair, owner))
@@ -207,8 +252,7 @@ class Words:
         starts = np.searchsorted(owner[first], np.arange(len(new) + 1))
         at = len(self.place)
         self.place.update({w: at + i for i, w in enumerate(new)})
-        self.counts = np.concatenate([self.counts, np.stack(columns, axis=1)])
-        self.pairs = Csr.of(np.concatenate([self.pairs.starts, self.pairs.starts[-1] + starts[1:]]), np.concatenate([self.pairs.columns, pair[first]]), 0, np.concatenate([self.pairs.values, times]))
+        return np.stack(columns, axis=1), Csr.of(starts, pair[first], 0, times)
 
     @staticmethod
     def _groups(found: Aligned, flat_a: np.ndarray, flat_b: np.ndarray, cut_groups: np.ndarray) -> list[str]:
@@ -245,14 +289,14 @@ _BLOCKS = pa.schema([("block", pa.int64()), ("doc_ids", _LONGS), *[(n, _LONGS) f
 
 def _block(known: Words, texts: list[str]) -> dict:
     """The numbers of some texts and their matrix (texts x distinct id pairs), by the words they hold."""
-    if len(known.place) > CACHED_WORDS:
-        known.clear()
+    if len(known.place) > CACHED_WORDS or known.chars > CACHED_CHARS:
+        known.shrink()
     lists = [words_of(t) if t else [] for t in texts]
     place = known.place
     new = list(dict.fromkeys(w for some in lists for w in some if w not in place))
-    for i in range(0, len(new), 20_000):
-        known.learn(new[i : i + 20_000])
+    known.learn_all(new)
     at = [[place[w] for w in some] for some in lists]
+    del lists, new
     bad = set(np.flatnonzero(known.counts[:, 5] == 0).tolist())
     if bad:
         at = [[] if not bad.isdisjoint(some) else some for some in at]
@@ -261,7 +305,9 @@ def _block(known: Words, texts: list[str]) -> dict:
     sizes = [len(some) for some in at]
     held = Csr.of(np.concatenate([[0], np.cumsum(sizes)]), np.fromiter((i for some in at for i in some), np.int64, sum(sizes)), len(known.place))
     numbers = {n: held.times(known.counts[:, k]).tolist() for k, n in enumerate(NUMBERS)}
+    del at
     used, local = np.unique(held.columns, return_inverse=True)  # the words of this block
+    known.uses[used] += 1
     sizes = np.diff(known.pairs.starts)[used]
     spots = np.repeat(known.pairs.starts[used] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
     pairs, column = np.unique(known.pairs.columns[spots], return_inverse=True)
@@ -275,13 +321,13 @@ def _blocks(a: str, b: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, known = TaskContext.get().partitionId() << 32, _words(a, b)
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            ids, texts = batch.column("doc_id"), batch.column("text")
             first = size = 0
-            for i, text in enumerate(texts):
-                size += len(text)
+            for i, chars in enumerate(pc.utf8_length(texts).to_pylist()):
+                size += chars
                 if size >= BLOCK_CHARS or i + 1 == len(texts):
-                    found = _block(known, texts[first : i + 1])
-                    row = {"block": block, "doc_ids": ids[first : i + 1], **found}
+                    found = _block(known, texts.slice(first, i + 1 - first).to_pylist())
+                    row = {"block": block, "doc_ids": ids.slice(first, i + 1 - first).to_pylist(), **found}
                     yield pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in _BLOCKS], schema=_BLOCKS)
                     block, first, size = block + 1, i + 1, 0
 
@@ -321,7 +367,7 @@ def align_documents(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "pie
     or empty text and text whose bytes a tokenizer changes: zeros and an empty digest. Repeated rows count each; a null doc_id is kept. Other columns are not
     read. No rows: no rows.
     """
-    blocks = stored(docs.select("doc_id", filled("text").alias("text")).mapInArrow(_blocks(a, b), BLOCKS), "alignment-blocks")
+    blocks = stored(docs.select("doc_id", filled("text").alias("text")).mapInArrow(_blocks(a, b), BLOCKS), "alignment-blocks", FILE_BLOCKS)
     asked = blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
     answers = asked.join(pair_counts(blocks), "pair").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "n", "best"))).alias("answers"))  # the block's own pairs
     needed = blocks.select("block", "doc_ids", *NUMBERS, "shas", "starts", "columns", "times")

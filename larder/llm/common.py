@@ -15,10 +15,13 @@ LETTERS_AND_DIGITS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written once below the shared folder and read back: lineage ends here, so a lost executor costs one task."""
+def stored(df: DataFrame, label: str, file_rows: int = 0) -> DataFrame:
+    """The rows written once below the shared folder and read back: lineage ends here, so a lost executor costs one task.
+
+    A file has ``file_rows`` rows at most, if given: rows are read in batches, and large ones should not come by the thousand.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

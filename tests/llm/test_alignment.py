@@ -4,6 +4,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
 from larder.llm import alignment
 
 DOCS = "doc_id long, text string, block string, n_a string"
@@ -128,3 +131,45 @@ def test_overlaps_and_groups_of_one_sequence():
     assert dense.tolist() == [[1, 1, 0, 0], [0, 0, 2, 1], [0, 0, 0, 1]]
     pairs = [(r, c) for part in found.shared_groups() for r, c in zip(part.rows().tolist(), part.columns.tolist())]
     assert pairs == [(0, 0), (0, 1), (1, 2), (1, 3), (2, 2), (2, 3)] and found.n_groups == 2
+
+
+def test_a_full_cache_keeps_the_words_of_several_blocks(monkeypatch):
+    known, fresh = (alignment.Words(*[public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]) for _ in range(2))
+    blocks = [[f"the common word{i} of text {i} " + " ".join(f"w{i}x{j}" for j in range(40))] for i in range(4)]
+    monkeypatch.setattr(alignment, "CACHED_WORDS", 60)
+    learned = []
+    learn = alignment.Words.learn
+    monkeypatch.setattr(alignment.Words, "learn", lambda self, new: (learned.append((self, new)), learn(self, new))[1])
+    for texts in blocks:
+        fresh.clear()
+        got, want = alignment._block(known, texts), alignment._block(fresh, texts)
+        assert all(list(got[n]) == list(want[n]) for n in want)
+    assert sum("common" in new for self, new in learned if self is known) == 1
+    known.shrink()
+    assert {"the", "common", "of", "text"} == set(known.place) and len(known.place) == len(known.counts) == known.pairs.height == len(known.text)
+    monkeypatch.setattr(alignment, "CACHED_CHARS", 0)
+    known.uses += 1
+    known.shrink()
+    assert not known.place and alignment._block(known, blocks[0])["shas"] == alignment._block(fresh, blocks[0])["shas"]
+
+
+def test_new_words_are_learned_in_bounded_runs(monkeypatch):
+    known = alignment.Words(*[public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")])
+    whole = alignment._block(known, ["a bb ccc " + "d" * 60 + " ee f"])
+    known.clear()
+    sizes, learn = [], alignment.Words.learn
+    monkeypatch.setattr(alignment.Words, "learn", lambda self, new: (sizes.append(sum(map(len, new))), learn(self, new))[1])
+    monkeypatch.setattr(alignment, "LEARNED_CHARS", 5)
+    parts = alignment._block(known, ["a bb ccc " + "d" * 60 + " ee f"])
+    assert sizes == [3, 3, 60, 3] and all(list(parts[n]) == list(whole[n]) for n in whole)
+
+
+def test_a_file_has_few_blocks(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK_CHARS", 10)
+    docs = spark.createDataFrame([(i, f"some words {i} of a text") for i in range(60)], "doc_id long, text string").coalesce(1)
+    names = []
+    stored = alignment.stored
+    monkeypatch.setattr(alignment, "stored", lambda df, label, *rows: (names.append((label, made := stored(df, label, *rows))), made)[1])
+    assert alignment.align_documents(docs).count() == 60
+    blocks = dict(names)["alignment-blocks"]
+    assert blocks.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= alignment.FILE_BLOCKS
