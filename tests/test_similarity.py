@@ -340,3 +340,34 @@ def test_words_of_ascii_texts_are_those_of_the_pattern():
             base += rows
         words = [(i, w) for i, t in enumerate(texts) for w in re.findall(r"\w\w+", (t or "").lower())]
         assert base == len(texts) and got == [i * 384 + vector._slots(384)[w] for i, w in words]
+
+
+def test_single_precision_tiles_fit_a_cache(monkeypatch):
+    """Tiles of any size find the same pairs, by request and then by item, and none is larger than stated."""
+    rng = np.random.default_rng(5)
+
+    def table(n, name):
+        return pa.table({name: pa.array(range(n)), "embedding": pa.array(rng.normal(size=(n, 8)).tolist(), pa.list_(pa.float64()))})
+
+    asked, items = table(40, "query_id"), table(900, "item_id")
+    requests = similarity.Requests(asked, similarity.Scoring())
+    block, rows = similarity.Block(items, requests), np.arange(40)
+    scores = similarity.round_scores(requests.vectors.raw @ block.x.T)
+    bar = np.partition(scores, -12, axis=1)[:, -12]
+    want = np.nonzero(scores >= bar[:, None])
+    made = []
+
+    class Single(np.ndarray):
+        def __matmul__(self, other):
+            made.append(len(self) * other.shape[1])
+            return np.asarray(self) @ np.asarray(other)
+
+    requests.single = requests.single.view(Single)
+    for most in (1, 64, 1000, 1 << 20):
+        monkeypatch.setattr(similarity, "CACHED_ENTRIES", most)
+        made.clear()
+        r, i, score = requests.reaching(rows, block, 0, 900, bar)
+        assert r.tolist() == want[0].tolist() and i.tolist() == want[1].tolist() and np.allclose(score, scores[want])
+        assert max(made) <= max(most, len(rows)) and sum(made) == scores.size
+    nothing = requests.reaching(rows, block, 0, 900, bar + 100)
+    assert [len(x) for x in nothing] == [0, 0, 0] and requests.reaching(rows, block, 0, 900, bar - 100) is None
